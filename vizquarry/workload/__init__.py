@@ -1,0 +1,5 @@
+"""Named queries over the given tables and the SQL that checks them."""
+
+from vizquarry.workload import estate, ingest
+
+MODULES = [ingest, estate]
