@@ -9,6 +9,7 @@ from vizquarry.functions.formulas import kind
 from vizquarry.functions.names import slug, slug_suffix
 from vizquarry.functions.translate import translated
 from vizquarry.plans.sources import plan_sources, plan_units, with_plan_key
+from vizquarry.session import cut_lineage
 
 
 def colmap_json(colmap: Column) -> Column:
@@ -17,8 +18,11 @@ def colmap_json(colmap: Column) -> Column:
 
 def translate_plans(plans: DataFrame) -> DataFrame:
     """Adds expr, eval_expr, kind, status; ``notes`` becomes plan notes and translation notes."""
-    done = plans.withColumn(
-        "_t", translated(F.when(F.col("fatal").isNull(), F.col("formula")), colmap_json(F.col("colmap")))
+    # Stored, so that the Python step runs once however many columns are taken from its result.
+    done = cut_lineage(
+        plans.withColumn("_f", F.when(F.col("fatal").isNull(), F.col("formula")))
+        .withColumn("_t", translated("_f", colmap_json(F.col("colmap"))))
+        .drop("_f")
     )
     refused = F.when(
         F.col("fatal").isNotNull(), F.array(F.format_string(fixed.NOTE_REFUSED, "fatal"))

@@ -1,5 +1,5 @@
 """Named queries over the given tables and the SQL that checks them."""
 
-from vizquarry.workload import estate, ingest
+from vizquarry.workload import estate, ingest, semantic
 
-MODULES = [ingest, estate]
+MODULES = [ingest, estate, semantic]
