@@ -9,6 +9,10 @@ FIELD_TOKEN = r"\[([^\]]+)\]"
 STRING_LITERAL = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
 # Unicode blanks, including the four separators that Java's \s leaves out.
 BLANK = r"[\s\x1C-\x1F\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]"
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u3000"
+)
 
 LOD_PATTERN = r"\{\s*(FIXED|INCLUDE|EXCLUDE)\b"
 TABLE_CALC_PATTERN = (

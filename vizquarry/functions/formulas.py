@@ -11,22 +11,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{fixed.BLANK}+|{fixed.BLANK}+\z", "")
-
-
 def strip_comments(c: Column | str) -> Column:
     """Drop ``/* */`` anywhere and ``//`` up to the line end unless it stands inside quotes.
 
     The possessive loop walks a line piece by piece and halts at the first ``//`` outside quotes or at
-    a quote that the line does not close; in the second case nothing is cut.
+    a quote that the line does not close; in the second case nothing is cut. Each pattern runs only on
+    texts that hold what it looks for.
     """
-    text = F.regexp_replace(_col(c), r"(?s)/\*.*?\*/", "")
-    text = F.regexp_replace(text, r"\r\n|[\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]", "\n")
-    text = F.regexp_replace(
-        text, r"""(?m)^((?:"[^"\n]*"|'[^'\n]*'|[^"'/\n]|/(?!/))*+)//[^\n]*""", "$1"
-    )
-    return _strip(text)
+    text = _col(c)
+    text = F.when(text.contains("/*"), F.regexp_replace(text, r"(?s)/\*.*?\*/", "")).otherwise(text)
+    breaks = r"\r\n|[\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+    text = F.when(text.rlike(breaks), F.regexp_replace(text, breaks, "\n")).otherwise(text)
+    line_comment = r"""(?m)^((?:"[^"\n]*"|'[^'\n]*'|[^"'/\n]|/(?!/))*+)//[^\n]*"""
+    text = F.when(text.contains("//"), F.regexp_replace(text, line_comment, "$1")).otherwise(text)
+    return F.btrim(text, F.lit(fixed.BLANK_CHARACTERS))
 
 
 def formula_key(c: Column | str) -> Column:

@@ -20,6 +20,7 @@ from vizquarry.operators.elements import (
     parameters,
     scopes_at,
 )
+from vizquarry.session import cut_lineage
 
 
 def workbooks(elements: DataFrame) -> DataFrame:
@@ -222,7 +223,7 @@ def estate_metrics(elements: DataFrame, variant: str = "strict") -> DataFrame:
     """All counts of the scorecard, one row per workbook."""
     from vizquarry.operators.depth import nesting_depth
 
-    calcs = calc_fields(elements, variant)
+    calcs = cut_lineage(calc_fields(elements, variant))  # read by three of the parts below
     parts = [
         data_model(elements, variant),
         calculations(calcs, nesting_depth(calcs), workbooks(elements)),

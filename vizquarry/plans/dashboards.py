@@ -25,22 +25,31 @@ def profile_columns(df: DataFrame, table: str, distinct: str = "approx") -> Data
     """One row per column: type, shape, non-null and distinct counts, least and greatest value.
 
     A single aggregation reads every column once. Distinct counts are sketches unless ``exact`` is asked
-    for, which carries the distinct values of each column through the shuffle.
+    for; exact ones are counted column by column, each reading its own column only and shuffling its
+    distinct values, instead of expanding every row by the number of columns.
     """
-    count = F.count_distinct if distinct == "exact" else F.approx_count_distinct
-    aggregates, fields = [], []
+    aggregates, fields, counts = [], [], []
     for i, f in enumerate(df.schema):
         c, shape = F.col(f"`{f.name}`"), _shape(f.dataType)
-        aggregates += [F.count(c).alias(f"n{i}"), count(c).alias(f"d{i}")]
+        aggregates.append(F.count(c).alias(f"n{i}"))
+        if distinct == "exact":
+            counts.append(
+                df.select(c.alias("v")).where("v IS NOT NULL").distinct()
+                .agg(F.count(F.lit(1)).alias("distinct_count"))
+                .select(F.lit(i + 1).alias("column_ord"), "distinct_count")
+            )
+            known = F.lit(None).cast("bigint")
+        else:
+            aggregates.append(F.approx_count_distinct(c).alias(f"d{i}"))
+            known = F.col(f"d{i}")
         ordered = shape != "other"
         if ordered:
             aggregates += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-
-        def side(name: str, want_number: bool) -> Column:
-            if not ordered or want_number != (shape == "numeric"):
-                return F.lit(None).cast("double" if want_number else "string")
-            return F.col(name).cast("double") if want_number else _text(F.col(name), shape)
-
+        low = F.col(f"lo{i}") if ordered else F.lit(None)
+        high = F.col(f"hi{i}") if ordered else F.lit(None)
+        number = shape == "numeric"
+        text = ordered and not number
+        no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
         fields.append(
             F.struct(
                 F.lit(table).alias("table_name"),
@@ -49,14 +58,19 @@ def profile_columns(df: DataFrame, table: str, distinct: str = "approx") -> Data
                 F.lit(f.dataType.simpleString()).alias("column_type"),
                 F.lit(shape).alias("shape"),
                 F.col(f"n{i}").alias("non_null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
-                side(f"lo{i}", True).alias("min_number"),
-                side(f"hi{i}", True).alias("max_number"),
-                side(f"lo{i}", False).alias("min_text"),
-                side(f"hi{i}", False).alias("max_text"),
+                known.alias("distinct_count"),
+                (low.cast("double") if number else no_number).alias("min_number"),
+                (high.cast("double") if number else no_number).alias("max_number"),
+                (_text(low, shape) if text else no_text).alias("min_text"),
+                (_text(high, shape) if text else no_text).alias("max_text"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*fields)))
+    profile = df.agg(*aggregates).select(F.inline(F.array(*fields)))
+    if distinct != "exact":
+        return profile
+    exact = union_all(counts)
+    columns = profile.columns
+    return profile.drop("distinct_count").join(exact, "column_ord").select(columns)
 
 
 def kpi(df: DataFrame, measures: dict[str, str]) -> DataFrame:

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from vizquarry.session import cut_lineage, ship_package
+from vizquarry.sources.shred import clustered
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -240,7 +241,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 def workbook_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Element rows of the whole estate, straight from the tables (no XML in between)."""
     sql = "\nUNION ALL\n".join(_element_branches())
-    return stored(spark, sf_dir, "elements", lambda: query(spark, sf_dir, sql))
+    return stored(spark, sf_dir, "elements", lambda: clustered(query(spark, sf_dir, sql)))
 
 
 def workbook_xml(spark: SparkSession, sf_dir: str) -> DataFrame:

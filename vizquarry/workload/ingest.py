@@ -69,8 +69,9 @@ def corpus_scan(spark, sf):
 
 
 def xml_shred(spark, sf):
-    rows = shred.elements(shred.shred(_xml(spark, sf)))
-    rows = fx.stored(spark, sf, "shredded", lambda: rows)
+    rows = fx.stored(
+        spark, sf, "shredded", lambda: shred.clustered(shred.elements(shred.shred(_xml(spark, sf))))
+    )
     calcs = calc_fields(rows)
     counted = calcs.groupBy("workbook_id").agg(F.count(F.lit(1)).alias("num_calc_fields"))
     return (
