@@ -219,11 +219,14 @@ def no_equivalent(elements: DataFrame, variant: str = "strict") -> DataFrame:
     )
 
 
-def estate_metrics(elements: DataFrame, variant: str = "strict") -> DataFrame:
-    """All counts of the scorecard, one row per workbook."""
+def estate_metrics(
+    elements: DataFrame, variant: str = "strict", calcs: DataFrame | None = None
+) -> DataFrame:
+    """All counts of the scorecard, one row per workbook. ``calcs`` is ``calc_fields`` if stored already."""
     from vizquarry.operators.depth import nesting_depth
 
-    calcs = cut_lineage(calc_fields(elements, variant))  # read by three of the parts below
+    if calcs is None:
+        calcs = cut_lineage(calc_fields(elements, variant))  # read by three of the parts below
     parts = [
         data_model(elements, variant),
         calculations(calcs, nesting_depth(calcs), workbooks(elements)),

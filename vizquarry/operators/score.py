@@ -10,6 +10,7 @@ from vizquarry import fixed
 from vizquarry.functions.numbers import round1
 from vizquarry.operators.elements import calc_fields
 from vizquarry.operators.metrics import estate_metrics, no_equivalent
+from vizquarry.session import cut_lineage
 
 STRICT_LINEAR, BROAD_LOG = "strict-linear", "broad-log"
 SCORERS = {STRICT_LINEAR: ("strict", "linear"), BROAD_LOG: ("broad", "log")}
@@ -141,7 +142,8 @@ def scorecard(
     strict-linear scorer only.
     """
     variant, curve = SCORERS[scorer]
-    metrics = estate_metrics(elements, variant)
+    calcs = cut_lineage(calc_fields(elements, variant))
+    metrics = estate_metrics(elements, variant, calcs)
     names = [c for c in metrics.columns if c != "workbook_id"]
     tiered = with_tiers(category_scores(metrics, curve)).join(
         no_equivalent(elements, variant), "workbook_id"
@@ -150,7 +152,7 @@ def scorecard(
         tiered = with_decision(tiered)
     full = (
         tiered.join(books, "workbook_id")
-        .join(calc_name_lists(calc_fields(elements, variant)), "workbook_id", "left")
+        .join(calc_name_lists(calcs), "workbook_id", "left")
         .withColumn("calc_names", F.coalesce("calc_names", F.array().cast("array<string>")))
     )
     decision = ["proceed", "proceed_reason"] if scorer == STRICT_LINEAR else []

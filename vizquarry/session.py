@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_CONF = "spark.checkpoint.dir"
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def get_session(app: str = "vizquarry", cpus: int | str = "*", **conf) -> SparkSession:
@@ -38,9 +39,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SCRATCH_CONF} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="vizquarry-")
-    spark.conf.set(SCRATCH_CONF, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="vizquarry-")
+    return _LOCAL_SCRATCH[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
