@@ -121,11 +121,11 @@ def test_refused_view_raises(planned, tables):
 
 def test_slugs(spark):
     rows = [(1, 0, "Sales", "Calc_111111"), (1, 1, "sales", "Calc_222222"), (1, 2, "Sales 222222", "Calc_333333"),
-            (2, 0, "Sales", "x"), (1, 3, "%", "y"), (1, 4, "2 x", "z")]
+            (2, 0, "Sales", "x"), (1, 3, "%", "y"), (1, 4, "2 x", "z"), (1, 5, "Sales 222222 333333", "Calc_444444")]
     got = vw.with_slugs(spark.createDataFrame(rows, "workbook_id int, ord int, name string, calc_id string"))
     assert {(r.workbook_id, r.ord): r.slug for r in got.collect()} == {
         (1, 0): "sales", (1, 1): "sales_222222", (1, 2): "sales_222222_333333", (2, 0): "sales",
-        (1, 3): "calc", (1, 4): "_2_x",
+        (1, 3): "calc", (1, 4): "_2_x", (1, 5): "sales_222222_333333_444444",
     }
 
 

@@ -46,25 +46,46 @@ def with_slugs(calcs: DataFrame, order: str = "ord") -> DataFrame:
     """Adds ``slug``: unique part of the view name within a workbook.
 
     The first calculation of a slug keeps it, later ones get the end of their id. A slug that an earlier
-    suffix already made counts as used as well. First appearance is a minimum per slug, so a frequent
-    name is combined before the shuffle and never sorted in one task.
+    suffix made counts as used too, which may in turn give another calculation a suffix; that is repeated
+    until nothing changes, as a rule at once. First appearance is a minimum per slug, so a frequent name is
+    combined before the shuffle and never sorted in one task.
     """
-    base = calcs.withColumn("_slug", slug("name")).withColumn(
-        "_long", F.concat("_slug", F.lit("_"), slug_suffix("calc_id"))
+    base = slug("name")
+    names = calcs.select(
+        "workbook_id",
+        F.col(order).alias("_at"),
+        base.alias("_slug"),
+        F.concat(base, F.lit("_"), slug_suffix("calc_id")).alias("_long"),
     )
-    first = base.groupBy("workbook_id", "_slug").agg(F.min(order).alias("_first"))
-    ranked = base.join(first, ["workbook_id", "_slug"])
-    made = (
-        ranked.where(F.col(order) > F.col("_first"))
-        .groupBy("workbook_id", F.col("_long").alias("_slug"))
-        .agg(F.min(order).alias("_made"))
+    first = names.groupBy("workbook_id", "_slug").agg(F.min("_at").alias("_first"))
+    names = cut_lineage(
+        names.join(first, ["workbook_id", "_slug"])
+        .withColumn("_used", F.col("_at") > F.col("_first"))
+        .drop("_first")
     )
-    used = (F.col(order) > F.col("_first")) | F.coalesce(F.col(order) > F.col("_made"), F.lit(False))
-    return (
-        ranked.join(made, ["workbook_id", "_slug"], "left")
-        .withColumn("slug", F.when(used, F.col("_long")).otherwise(F.col("_slug")))
-        .drop("_slug", "_long", "_first", "_made")
+    while True:
+        made = (
+            names.where("_used")
+            .groupBy("workbook_id", F.col("_long").alias("_slug"))
+            .agg(F.min("_at").alias("_made"))
+        )
+        again = names.join(made, ["workbook_id", "_slug"]).where(
+            ~F.col("_used") & (F.col("_at") > F.col("_made"))
+        )
+        again = cut_lineage(again.select("workbook_id", "_at", F.lit(True).alias("_again")))
+        if again.isEmpty():
+            break
+        names = cut_lineage(
+            names.join(again, ["workbook_id", "_at"], "left")
+            .withColumn("_used", F.col("_used") | F.coalesce("_again", F.lit(False)))
+            .drop("_again")
+        )
+    chosen = names.select(
+        "workbook_id",
+        F.col("_at").alias(order),
+        F.when(F.col("_used"), F.col("_long")).otherwise(F.col("_slug")).alias("slug"),
     )
+    return calcs.join(chosen, ["workbook_id", order])
 
 
 def _json_text(c: Column) -> Column:
@@ -128,9 +149,8 @@ def build_views(
     ``calcs`` comes from ``dedupe_calcs`` with a ``source_set`` column naming the candidate tables.
     Distinct (formula, hints, tables) are planned and translated once and joined back.
     """
-    keyed = with_plan_key(
-        calcs.withColumnsRenamed({"formula": "original", "formula_inlined": "formula", "datasources": "hints"})
-    )
+    renamed = {"formula": "original", "formula_inlined": "formula", "datasources": "hints"}
+    keyed = cut_lineage(with_plan_key(calcs.withColumnsRenamed(renamed)))
     plans = translate_plans(plan_sources(plan_units(keyed), catalog)).drop(
         "source_set", "formula", "hints"
     )
