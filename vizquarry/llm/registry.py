@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vizquarry.llm import html_text, near_dedup, token_counts, token_file
+from vizquarry.llm import html_text, near_dedup, quality_rules, token_counts, token_file
 from vizquarry.session import scratch_dir, ship_package
 
 
@@ -39,6 +39,10 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_file(spark, path)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -50,6 +54,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_token_file": op4_token_file,
+    "op5_quality_rules": op5_quality_rules,
     "op8_near_dedup": op8_near_dedup,
     "op9_html_text": op9_html_text,
 }
