@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vizquarry.llm import html_text, near_dedup, quality_rules, token_counts, token_file
+from vizquarry.llm import html_text, language, near_dedup, quality_model, quality_rules, token_counts, token_file, toxicity
 from vizquarry.session import scratch_dir, ship_package
 
 
@@ -28,6 +28,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, tokenizer_path(), fresh(spark, "token-cache"))
@@ -43,6 +51,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -52,9 +64,12 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_token_file": op4_token_file,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_model": op6_quality_model,
     "op8_near_dedup": op8_near_dedup,
     "op9_html_text": op9_html_text,
 }
