@@ -39,11 +39,17 @@ def bit_width(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
+    if bits % 8 == 0:
+        return ids.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - bits // 8 :].tobytes()
     shown = np.unpackbits(ids.astype(">u4").view(np.uint8)).reshape(-1, 32)
     return np.packbits(shown[:, 32 - bits :]).tobytes()
 
 
 def unpack_bits(packed: np.ndarray, bits: int, n: int) -> np.ndarray:
+    if bits % 8 == 0:
+        whole = np.zeros((n, 4), dtype=np.uint8)
+        whole[:, 4 - bits // 8 :] = packed.reshape(n, bits // 8)
+        return whole.view(">u4").reshape(n).astype("<u4")
     full = np.zeros((n, 32), dtype=np.uint8)
     full[:, 32 - bits :] = np.unpackbits(packed, count=n * bits).reshape(n, bits)
     return np.packbits(full).view(">u4").astype("<u4")
