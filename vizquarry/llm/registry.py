@@ -8,12 +8,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vizquarry.llm import html_text, language, near_dedup, quality_model, quality_rules, token_counts, token_file, toxicity
+from vizquarry.llm import decontaminate, html_text, language, mixing, near_dedup, quality_model, quality_rules, token_counts, token_file, toxicity
 from vizquarry.session import scratch_dir, ship_package
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: The mix of the query: tokens taken, as a share of all, and how often a document may be taken.
+MIX_SHARE, MIX_EPOCHS = 0.5, 3
+
+
+def ship(spark: SparkSession) -> None:
+    """Python workers need this package."""
     ship_package(spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,6 +64,10 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -63,6 +76,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.corpus_rows(table(spark, sf_dir, "documents"), MIX_SHARE, MIX_EPOCHS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -70,9 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_file": op4_token_file,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_model": op6_quality_model,
+    "op7_decontamination": op7_decontamination,
     "op8_near_dedup": op8_near_dedup,
     "op9_html_text": op9_html_text,
+    "op10_mixing": op10_mixing,
 }
 
 #: Queries that SQL can express.
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op7_decontamination": decontaminate.CHECK,
+    "op10_mixing": mixing.check(MIX_SHARE, MIX_EPOCHS),
+}
