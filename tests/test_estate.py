@@ -225,7 +225,7 @@ def test_dedupe_takes_first_non_null(spark):
 
 def test_corpus_from_files(spark, tmp_path):
     def pack(name, members):
-        with zipfile.ZipFile(tmp_path / name, "w") as z:
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_DEFLATED) as z:
             for member, text in members.items():
                 z.writestr(member, text)
 
@@ -234,14 +234,17 @@ def test_corpus_from_files(spark, tmp_path):
     pack("none.twbx", {"readme.txt": ""})
     (tmp_path / "bad.twbx").write_bytes(b"no zip")
     (tmp_path / "bare.twb").write_text("<workbook/>")
-    (tmp_path / "large.twbx").write_bytes(b"x" * 20000)
+    broken = bytearray((tmp_path / "good.twbx").read_bytes())
+    at = broken.index(b"Book.TWB") + len("Book.TWB")
+    broken[at : at + 8] = b"\xff" * 8  # the member's data, in a sound archive
+    (tmp_path / "damaged.twbx").write_bytes(bytes(broken))
     (tmp_path / "notes.txt").write_text("no workbook")
-    corpus = archives.read_corpus(spark, str(tmp_path), max_bytes=15000)
+    corpus = archives.read_corpus(spark, str(tmp_path))
     got = {r.path.rsplit("/", 1)[-1]: r for r in corpus.collect()}
-    assert set(got) == {"good.twbx", "two.twbx", "none.twbx", "bad.twbx", "bare.twb", "large.twbx"}
+    assert set(got) == {"good.twbx", "two.twbx", "none.twbx", "bad.twbx", "bare.twb", "damaged.twbx"}
     assert got["good.twbx"].member == "Book.TWB" and len(got["good.twbx"].extracts) == 2
     assert got["two.twbx"].member == "z.twb" and got["two.twbx"].n_workbook_members == 2
-    assert got["none.twbx"].error and got["bad.twbx"].error and "above the limit" in got["large.twbx"].error
+    assert got["none.twbx"].error and got["bad.twbx"].error and got["damaged.twbx"].error
     assert bytes(got["bare.twb"].xml) == b"<workbook/>"
     live = {r.path.rsplit("/", 1)[-1] for r in archives.without_extract(corpus).collect()}
     assert live == {"two.twbx", "bare.twb"}

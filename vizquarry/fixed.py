@@ -85,6 +85,7 @@ NOTE_NOT_FOUND = "column [%s] not found in any source table"
 NOTE_JOINED = (
     "joined %s as '%s' on %s (inferred from shared column names; verify it is many-to-one)"
 )
+FATAL_NO_TABLE = "no candidate table with known columns"
 FATAL_NO_KEYS = "[%s] is in %s, which shares no column with %s to join on"
 
 # ---- metric view definitions ------------------------------------------------------------------------

@@ -11,6 +11,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def sanitize(c: Column | str) -> Column:
     """Identifier form: every other character than letters, digits and ``_`` becomes ``_``."""
     clean = F.lower(F.btrim(F.regexp_replace(_col(c), r"[^\p{L}\p{N}_]", "_"), F.lit("_")))

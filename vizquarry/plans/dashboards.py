@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from vizquarry.functions.names import quoted
+
 CATEGORY_LIMIT = 50
 
 
@@ -30,7 +32,7 @@ def profile_columns(df: DataFrame, table: str, distinct: str = "approx") -> Data
     """
     aggregates, fields, counts = [], [], []
     for i, f in enumerate(df.schema):
-        c, shape = F.col(f"`{f.name}`"), _shape(f.dataType)
+        c, shape = F.col(quoted(f.name)), _shape(f.dataType)
         aggregates.append(F.count(c).alias(f"n{i}"))
         if distinct == "exact":
             counts.append(

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from vizquarry.functions.names import quoted
 from vizquarry.plans.views import build_views
 from vizquarry.sources.catalog import column_catalog
 
 
+#: Which keys of a table are known to be unique, as long as its frame lives.
+_UNIQUE: WeakKeyDictionary[DataFrame, dict[tuple, bool]] = WeakKeyDictionary()
+
+
 @dataclass
 class MetricView:
     """``tables`` maps table names to frames; the rest is one row of ``build_views``."""
@@ -36,19 +42,21 @@ class MetricView:
 
         Bare names then mean the base table and ``alias.column`` the joined one, whatever columns the
         two share. Only join keys and mapped columns of a joined table are read. The join is a left
-        join; no side is hinted, so Spark broadcasts where statistics allow it.
+        join; no side is hinted, so Spark broadcasts where statistics allow it. A joined table whose keys
+        repeat would count base rows several times, so it is refused with a ValueError.
         """
         df = self.tables[self.base]
         for j in self.joins:
+            self._require_unique(j)
             prefix = j["name"] + "."
             used = sorted({_bare(m["sql"][len(prefix):]) for m in self.colmap if m["sql"].startswith(prefix)})
             keys = [(_bare(k["base_column"]), _bare(k["column"])) for k in j["keys"]]
             renamed = {theirs: f"__{j['name']}_{theirs}" for _, theirs in keys}
             side = self.tables[j["source"]].select(
-                *[F.col(f"`{k}`").alias(v) for k, v in renamed.items()],
-                F.struct(*[F.col(f"`{c}`") for c in used]).alias(j["name"]),
+                *[F.col(quoted(k)).alias(v) for k, v in renamed.items()],
+                F.struct(*[F.col(quoted(c)) for c in used]).alias(j["name"]),
             )
-            condition = [df[f"`{ours}`"] == side[f"`{renamed[theirs]}`"] for ours, theirs in keys]
+            condition = [df[quoted(ours)] == side[quoted(renamed[theirs])] for ours, theirs in keys]
             df = df.join(side, condition, "left").drop(*renamed.values())
         return df
 
@@ -74,6 +82,17 @@ class MetricView:
             raise ValueError(f"{self.slug} aggregates; use select()")
         return self.source().select(*columns, F.expr(self.expr).alias(self.slug))
 
+    def _require_unique(self, join) -> None:
+        """Check once per table and keys that the join is many-to-one."""
+        keys = tuple(_bare(k["column"]) for k in join["keys"])
+        table = self.tables[join["source"]]
+        known = _UNIQUE.setdefault(table, {})
+        if keys not in known:
+            found = duplicate_keys(table.dropna(subset=[quoted(k) for k in keys]), [quoted(k) for k in keys])
+            known[keys] = found.isEmpty()
+        if not known[keys]:
+            raise ValueError(f"{join['source']} has repeated keys ({', '.join(keys)}): the join is not many-to-one")
+
     def duplicate_keys(self) -> dict[str, DataFrame]:
         """Per joined table, the keys with more than one row: there the join is not many-to-one."""
         return {

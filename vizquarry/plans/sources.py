@@ -308,7 +308,7 @@ def plan_sources(units: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     no_refs = F.array().cast(f"array<struct<ref_ord:int,ref:string,hits:{_HIT}>>")
     walked = (
-        units.join(base, "plan_key")
+        units.join(base, "plan_key", "left")
         .join(ordered, "plan_key", "left")
         .withColumn("picks", _walk(F.coalesce("refs", no_refs), F.col("base"))["picks"])
         .drop("refs")
@@ -347,7 +347,7 @@ def plan_sources(units: DataFrame, catalog: DataFrame) -> DataFrame:
             pick["table_name"].isNull() | (pick["table_name"] == F.col("base")), column
         ).otherwise(F.concat(join_of(pick)["name"], F.lit("."), column))
 
-    fatal = F.when(
+    fatal = F.when(F.col("base").isNull(), F.lit(fixed.FATAL_NO_TABLE)).when(
         F.col("halted") > 0,
         F.format_string(
             fixed.FATAL_NO_KEYS, F.col("broken.ref"), F.col("broken.source"), F.col("base")

@@ -85,6 +85,18 @@ def with_slugs(calcs: DataFrame, order: str = "ord") -> DataFrame:
         F.col("_at").alias(order),
         F.when(F.col("_used"), F.col("_long")).otherwise(F.col("_slug")).alias("slug"),
     )
+    chosen = cut_lineage(chosen)
+    while True:  # ids that end alike: later ones also get their place, until no two are equal
+        firsts = chosen.groupBy("workbook_id", "slug").agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+        repeated = firsts.where("_n > 1").select("workbook_id", "slug", "_first")
+        if repeated.isEmpty():
+            break
+        longer = F.concat("slug", F.lit("_"), F.col(order).cast("string"))
+        chosen = cut_lineage(
+            chosen.join(repeated, ["workbook_id", "slug"], "left")
+            .withColumn("slug", F.when(F.col(order) > F.col("_first"), longer).otherwise(F.col("slug")))
+            .drop("_first")
+        )
     return calcs.join(chosen, ["workbook_id", order])
 
 
@@ -154,12 +166,12 @@ def build_views(
     plans = translate_plans(plan_sources(plan_units(keyed), catalog)).drop(
         "source_set", "formula", "hints"
     )
-    named = with_slugs(keyed).join(plans, "plan_key")
+    named = with_slugs(keyed).join(plans, "plan_key", "left")
     schema = F.regexp_replace("base", r"\.[^.]*\z", "")
     path = F.lit(target_schema) if target_schema else schema
     comment = F.format_string(fixed.DEFINITION_COMMENT, "name", "calc_id", "original")
     built = (
-        named.withColumn("view_name", F.concat(path, F.lit("." + prefix), "slug"))
+        named.withColumn("view_name", F.concat_ws(".", path, F.concat(F.lit(prefix), "slug")))
         .withColumn("comment", comment)
         .withColumn(
             "definition",

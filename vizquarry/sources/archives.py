@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import lzma
+import struct
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,17 +26,25 @@ _ARROW = pa.schema(
         ("error", pa.string()),
     ]
 )
-DEFAULT_MAX_BYTES = 1 << 30
+_DAMAGE = (
+    zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, lzma.LZMAError, struct.error,
+    EOFError, KeyError, OSError, RuntimeError, ValueError,
+)
 
 
-def _open(path: str, content: bytes) -> dict:
+def _open(path: str, handle) -> dict:
+    """One row for a workbook file; of an archive, only its directory and the workbook member are read.
+
+    ``handle`` gives a seekable file when called, and may raise; whatever is wrong with a file becomes its error.
+    """
     row = dict.fromkeys(_ARROW.names)
     row.update(path=path, n_workbook_members=0, extracts=[])
-    if path.lower().endswith(fixed.WORKBOOK_SUFFIX):
-        row.update(member=path.rsplit("/", 1)[-1], n_workbook_members=1, xml=content)
-        return row
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        if path.lower().endswith(fixed.WORKBOOK_SUFFIX):
+            with handle() as file:
+                row.update(member=path.rsplit("/", 1)[-1], n_workbook_members=1, xml=file.read())
+            return row
+        with handle() as file, zipfile.ZipFile(file) as archive:
             names = archive.namelist()
             books = [n for n in names if n.lower().endswith(fixed.WORKBOOK_SUFFIX)]
             row["extracts"] = [n for n in names if n.lower().endswith(fixed.EXTRACT_SUFFIX)]
@@ -42,7 +53,7 @@ def _open(path: str, content: bytes) -> dict:
                 row.update(member=books[0], xml=archive.read(books[0]))
             else:
                 row["error"] = f"no {fixed.WORKBOOK_SUFFIX} member in the archive"
-    except (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, RuntimeError, ValueError) as why:
+    except _DAMAGE as why:
         row["error"] = f"{type(why).__name__}: {why}"
     return row
 
@@ -52,7 +63,22 @@ def _open_batches(batches):
         paths, contents = batch.column("path"), batch.column("content")
         for i in range(batch.num_rows):
             # One archive per output batch, so that a task holds one decoded workbook at a time.
-            row = _open(paths[i].as_py(), contents[i].as_py())
+            row = _open(paths[i].as_py(), lambda content=contents[i]: io.BytesIO(content.as_py()))
+            yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+
+
+def _handle(path: str):
+    """A seekable file of any store pyarrow reaches; paths as Spark's file source gives them."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path)
+    return store.open_input_file(place)
+
+
+def _open_paths(batches):
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            row = _open(path, lambda path=path: _handle(path))
             yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
 
@@ -61,11 +87,11 @@ def scan_archives(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_open_batches, SCANNED)
 
 
-def read_corpus(spark: SparkSession, location: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Scan every ``.twb`` / ``.twbx`` below ``location``.
+def read_corpus(spark: SparkSession, location: str) -> DataFrame:
+    """Scan every ``.twb`` / ``.twbx`` below ``location``, however large.
 
-    Files above ``max_bytes`` are reported, not opened: the length filter is pushed into the scan, so
-    their content is never read. Raise the limit to take them in.
+    Spark only lists the files. Each is opened on an executor through a seekable handle, so a packaged workbook
+    costs its directory and its workbook member; the extracts that make it large are not read.
     """
     files = (
         spark.read.format("binaryFile")
@@ -73,16 +99,7 @@ def read_corpus(spark: SparkSession, location: str, max_bytes: int = DEFAULT_MAX
         .option("pathGlobFilter", "*.[tT][wW][bB]*")
         .load(location)
     )
-    fits = F.col("length") <= max_bytes
-    too_large = files.where(~fits).select(
-        "path",
-        F.lit(None).cast("string").alias("member"),
-        F.lit(0).alias("n_workbook_members"),
-        F.lit(None).cast("binary").alias("xml"),
-        F.array().cast("array<string>").alias("extracts"),
-        F.format_string(f"file of %d bytes is above the limit of {max_bytes}", "length").alias("error"),
-    )
-    return scan_archives(files.where(fits)).unionByName(too_large)
+    return files.select("path").mapInArrow(_open_paths, SCANNED)
 
 
 def without_extract(corpus: DataFrame) -> DataFrame:

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from vizquarry.functions.names import quoted
+
+
+def _register(spark: SparkSession, table: str, path: str) -> None:
+    """Give a folder that holds rows already its table, so that an append adds to them."""
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as why:
+        if why.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
@@ -19,8 +33,10 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", path: str |
     writer = df.write.format("parquet")
     if path:
         writer = writer.option("path", path)
+    if mode == "append" and path and not spark.catalog.tableExists(table):
+        _register(spark, table, path)
     if mode == "overwrite" or not spark.catalog.tableExists(table):
-        writer.mode("overwrite").saveAsTable(table)
+        writer.mode(mode).saveAsTable(table)
         return spark.table(table)
 
     known = {f.name.lower(): f for f in spark.table(table).schema}
@@ -32,12 +48,12 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", path: str |
             )
     added = [f for f in df.schema if f.name.lower() not in known]
     if added:
-        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
     have = {c.lower() for c in df.columns}
     aligned = df.select(
         *[
-            F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
             for f in spark.table(table).schema
         ]
     )

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from vizquarry.functions.names import sanitize
+from vizquarry.functions.names import quoted, sanitize
 
 
 @dataclass
@@ -35,7 +35,7 @@ def read_source(spark: SparkSession, source: TableSource) -> DataFrame:
 def normalize_temporal(df: DataFrame, temporal: dict) -> DataFrame:
     """Dates to DATE, timestamps to zone-free timestamps with microseconds."""
     targets = {"date": "date", "timestamp": "timestamp_ntz"}
-    return df.withColumns({c: F.col(f"`{c}`").cast(targets[kind]) for c, kind in temporal.items()})
+    return df.withColumns({c: F.col(quoted(c)).cast(targets[kind]) for c, kind in temporal.items()})
 
 
 def unique_names(columns: DataFrame, table: str, ordinal: str, name: str) -> DataFrame:
