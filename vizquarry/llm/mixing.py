@@ -93,7 +93,8 @@ def plan(
 
     ``docs`` needs the id, the levels and the tokens only. The budget is ``share`` of all tokens.
     """
-    leaves = docs.groupBy(*levels).agg(F.sum(tokens).alias("supply"), F.count("*").alias("rows"))
+    docs = docs.select(F.col(id_column), *levels, F.col(tokens).alias("tokens"))
+    leaves = docs.groupBy(*levels).agg(F.sum("tokens").alias("supply"), F.count("*").alias("rows"))
     leaves = cut_lineage(leaves)
     total = F.col("whole") * share
     spent = leaves.join(budgets(leaves, levels, weights, total, epochs), list(levels))
@@ -105,14 +106,14 @@ def plan(
     partial = small(spent.where("rest > 0").select(*levels, "whole", "rest", "digits"), BROADCAST_LEAVES)
     placed = docs.join(partial, list(levels)).withColumn("place", place(seed, F.col("whole"), id_column))
     placed = placed.withColumn("range", F.expr("substr(place, 1, digits)"))
-    sums = placed.groupBy(*levels, "range").agg(F.sum(tokens).alias("tokens"), F.max("rest").alias("rest"))
+    sums = placed.groupBy(*levels, "range").agg(F.sum("tokens").alias("tokens"), F.max("rest").alias("rest"))
     keys = ", ".join(levels)
     ends = sums.selectExpr("*", f"sum(tokens) OVER (PARTITION BY {keys} ORDER BY range) - tokens AS before")
     # The last range that begins before the budget is reached holds the cut.
     ends = ends.where("before < rest").groupBy(*levels).agg(F.max(F.struct("range", "before")).alias("end"))
     ends = small(cut_lineage(ends.select(*levels, F.col("end.range").alias("range"), "end.before")), BROADCAST_LEAVES)
     inside = placed.join(ends, [*levels, "range"]).groupBy(*levels, "place").agg(
-        F.sum(tokens).alias("tokens"), F.max("before").alias("before"), F.max("rest").alias("rest")
+        F.sum("tokens").alias("tokens"), F.max("before").alias("before"), F.max("rest").alias("rest")
     )
     inside = inside.selectExpr("*", f"before + sum(tokens) OVER (PARTITION BY {keys} ORDER BY place) - tokens AS start")
     cuts = inside.where("start < rest").groupBy(*levels).agg(F.max("place").alias("last"))
@@ -192,7 +193,8 @@ def check(share: float, epochs: int) -> str:
 WITH rows_ AS (
     SELECT doc_id, 'd' || (coalesce(try_cast(regexp_extract(coalesce(source, ''), '([0-9])$', 1) AS INT), 0) % 4) AS a,
         coalesce(lang, '(none)') AS b, coalesce(source, '(none)') AS c,
-        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n
     FROM documents
 ), leaf AS (SELECT a, b, c, CAST(sum(n) AS BIGINT) AS supply FROM rows_ GROUP BY a, b, c),{levels},
 plan AS (
