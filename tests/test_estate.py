@@ -1,12 +1,13 @@
 import itertools
 import random
+import re
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from vizquarry.operators import elements as el, inline, metrics, score
-from vizquarry.operators.depth import longest_chain, nesting_depth
+from vizquarry.operators.depth import nesting_depth
 from vizquarry.sources import archives, shred, sinks
 
 BOOK = """<workbook>
@@ -149,14 +150,12 @@ def test_depth_of_random_graphs_all_ways(spark):
         edges = {(a, b) for a in nodes for b in nodes if a != b and rng.random() < 0.3}
         want[wb] = brute_depth(edges, nodes)
         pairs = sorted(edges)
-        assert longest_chain([a for a, _ in pairs], [b for _, b in pairs], 10**6) == want[wb]
         for i, a in enumerate(nodes):
             text = " + ".join([f"[{b}]" for x, b in pairs if x == a] + [f"[{a}]", "[elsewhere]"])
             calcs.append((wb, a, text, i))
     df = spark.createDataFrame(calcs, "workbook_id int, calc_name string, formula string, ord int")
-    for limits in ({}, {"group_limit": 0}, {"state_limit": 3}):
-        got = {r.workbook_id: r.max_calc_nesting_depth for r in nesting_depth(df, **limits).collect()}
-        assert got == want, limits
+    got = {r.workbook_id: r.max_calc_nesting_depth for r in nesting_depth(df).collect()}
+    assert got == want
 
 
 RECORDS = "workbook_id int, source_ord int, calc_ord int, datasource string, calc_id string, name string, formula string, datatype string, tableau_role string"
@@ -181,19 +180,38 @@ def test_inlining_by_hand(spark):
         ],
         RECORDS,
     )
-    for limits in ({}, {"group_limit": 0}, {"text_limit": 1}):
-        got = {
-            (r.workbook_id, r.calc_id): r.formula_inlined for r in inline.inline_references(df, **limits).collect()
-        }
-        assert got == {
-            (1, "a"): "((2) * [x]) + 1", (1, "b"): "(2) * [x]", (1, "c"): "2",
-            (2, "a"): "([a] + [A])", (2, "b"): "([B]) + ([B])",
-            (3, "a"): "1", (3, "b"): "2 + [Same]", (3, "c"): "(2 + [Same])",
-            (4, "a"): "[b]",
-        }, limits
-
-
-def test_inlining_ways_agree_on_random_sources(spark):
+    got = {(r.workbook_id, r.calc_id): r.formula_inlined for r in inline.inline_references(df).collect()}
+    assert got == {
+        (1, "a"): "((2) * [x]) + 1", (1, "b"): "(2) * [x]", (1, "c"): "2",
+        (2, "a"): "([a] + [A])", (2, "b"): "([B]) + ([B])",
+        (3, "a"): "1", (3, "b"): "2 + [Same]", (3, "c"): "(2 + [Same])",
+        (4, "a"): "[b]",
+    }
+
+
+def brute_inline(rows):
+    found = {}
+    for wb in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == wb), key=lambda r: r[1:3])
+        defined = {}
+        for _, _, _, _, key, name, formula, _, _ in own:
+            defined[key] = formula.strip()
+            defined[name] = formula.strip()
+
+        def expand(text, seen):
+            def one(m):
+                token = m.group()[1:-1]
+                if token not in defined or token in seen:  # noqa: B023
+                    return m.group()
+                return "(" + expand(defined[token], seen | {token}) + ")"  # noqa: B023
+
+            return re.sub(r"\[[^\]]+\]", one, text)
+
+        found |= {(wb, r[2]): expand(r[6].strip(), {r[4], r[5]}) for r in own}
+    return found
+
+
+def test_inlining_of_random_sources(spark):
     rng = random.Random(3)
     rows = []
     for wb in range(40):
@@ -203,9 +221,14 @@ def test_inlining_ways_agree_on_random_sources(spark):
         for i in range(n):
             parts = [rng.choice(["[" + rng.choice(ids + caps + ["zz"]) + "]", "x", "[q] "]) for _ in range(3)]
             rows.append(record(wb, i, ids[i], caps[i], "".join(parts)))
-    df = spark.createDataFrame(rows, RECORDS)
-    key = lambda d: sorted((r.workbook_id, r.calc_ord, r.formula_inlined) for r in d.collect())
-    assert key(inline.inline_references(df)) == key(inline.inline_references(df, group_limit=0))
+    got = inline.inline_references(spark.createDataFrame(rows, RECORDS)).collect()
+    assert {(r.workbook_id, r.calc_ord): r.formula_inlined for r in got} == brute_inline(rows)
+
+
+def test_depth_of_a_long_chain(spark):
+    rows = [(1, f"n{i}", f"[n{i + 1}] + [n{min(i + 2, 24)}]", i) for i in range(24)] + [(1, "n24", "1", 24)]
+    df = spark.createDataFrame(rows, "workbook_id int, calc_name string, formula string, ord int")
+    assert [r.max_calc_nesting_depth for r in nesting_depth(df).collect()] == [25]
 
 
 def test_dedupe_takes_first_non_null(spark):

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from vizquarry.functions.formulas import raw_refs
-from vizquarry.session import cut_lineage
+from vizquarry.session import Rounds, cut_lineage
 
 NODE = ["workbook_id", "src"]
 
@@ -22,88 +19,30 @@ def reference_edges(calcs: DataFrame) -> DataFrame:
     return refs.join(targets, ["workbook_id", "dst"], "left_semi").select("workbook_id", "src", "dst")
 
 
-def nesting_depth(
-    calcs: DataFrame, group_limit: int = 2000, state_limit: int = 20000
-) -> DataFrame:
+def nesting_depth(calcs: DataFrame) -> DataFrame:
     """(workbook_id, max_calc_nesting_depth) for every workbook with a calculated field.
 
-    Workbooks of up to ``group_limit`` references are solved whole, one per row of a single shuffle.
-    Larger ones, and those whose cycles need more than ``state_limit`` partial paths, take the
-    distributed way, which spreads a workbook's references over all tasks. Both ways are exact.
+    All workbooks go through the same rounds of joins on (workbook, field), in which no task ever holds a
+    whole workbook.
     """
     edges = cut_lineage(reference_edges(calcs))
-    large = (
-        edges.groupBy("workbook_id").count().where(F.col("count") > group_limit).select("workbook_id")
-    )
-    solved = cut_lineage(
-        edges.join(large, "workbook_id", "left_anti")
-        .groupBy("workbook_id")
-        .agg(F.collect_list(F.struct("src", "dst")).alias("refs"))
-        .select(
-            "workbook_id", _solver(state_limit)(F.col("refs.src"), F.col("refs.dst")).alias("depth")
-        )
-    )
-    parts = [
-        calcs.select("workbook_id", F.lit(1).alias("depth")),
-        solved.where(F.col("depth").isNotNull()),
-    ]
-    left = large.unionByName(solved.where(F.col("depth").isNull()).select("workbook_id"))
-    if not left.isEmpty():
-        parts += _distributed(cut_lineage(edges.join(left, "workbook_id", "left_semi")))
+    alone = calcs.select("workbook_id", F.lit(1).alias("depth"))
     return (
-        reduce(DataFrame.unionByName, parts)
+        alone.unionByName(_depths(edges))
         .groupBy("workbook_id")
         .agg(F.max("depth").cast("int").alias("max_calc_nesting_depth"))
     )
 
 
-def longest_chain(sources: list[str], targets: list[str], state_limit: int) -> int | None:
-    """Fields on the longest path without repeats; None once more than ``state_limit`` states are open."""
-    out: dict[str, set] = {}
-    for s, t in zip(sources, targets):
-        out.setdefault(s, set()).add(t)
-    level: dict[str, int] = {}
-    waiting = set(out)
-    while True:
-        ready = [n for n in waiting if not out[n] & waiting]
-        if not ready:
-            break
-        for n in ready:
-            level[n] = 1 + max(level.get(t, 1) for t in out[n])
-        waiting.difference_update(ready)
-    best, states, length = max(level.values(), default=1), 0, 1
-    # Fields still waiting reach a cycle. Paths over the same fields with the same end are one state.
-    tail = {n: max((level.get(t, 1) for t in out[n] - waiting), default=0) for n in waiting}
-    paths = {(n, frozenset((n,))) for n in waiting}
-    while paths:
-        states += len(paths)
-        if states > state_limit:
-            return None
-        best = max(best, length + max(tail[n] for n, _ in paths))
-        paths = {
-            (t, seen | {t}) for n, seen in paths for t in out[n] & waiting if t not in seen
-        }
-        length += 1
-    return best
-
-
-def _solver(state_limit: int):
-    @F.pandas_udf("int")
-    def solve(sources: pd.Series, targets: pd.Series) -> pd.Series:
-        found = [longest_chain(s, t, state_limit) for s, t in zip(sources, targets)]
-        return pd.Series(found, dtype="Int32")
-
-    return solve
-
-
-def _distributed(edges: DataFrame) -> list[DataFrame]:
-    """Frames of (workbook_id, depth) whose maximum per workbook is the answer.
+def _depths(edges: DataFrame) -> DataFrame:
+    """Frame of (workbook_id, depth) whose maximum per workbook is the answer.
 
     Phase one peels: a field whose references are all gone has the number of the round as its depth,
     and the edges into it leave. The edge set shrinks each round and there are as many rounds as the
     deepest acyclic chain. What stays is the core of fields that reach a cycle; phase two walks it.
     """
-    live_count, rounds = edges.count(), []
+    live_count, turn = edges.count(), 0
+    peeled_edges = Rounds(edges.sparkSession, "workbook_id " + edges.schema["workbook_id"].dataType.simpleString() + ", src string, gone int")
     while live_count:
         # An edge stays while its target still has references of its own.
         busy = edges.select("workbook_id", F.col("src").alias("dst"), F.lit(True).alias("busy")).distinct()
@@ -112,7 +51,8 @@ def _distributed(edges: DataFrame) -> list[DataFrame]:
                 "workbook_id", "src", "dst", F.coalesce("busy", F.lit(False)).alias("busy")
             )
         )
-        rounds.append(marked.where(~F.col("busy")).withColumn("gone", F.lit(len(rounds) + 1)))
+        turn += 1
+        peeled_edges.add(marked.where(~F.col("busy")).select("workbook_id", "src", F.lit(turn).alias("gone")))
         edges = marked.where(F.col("busy")).drop("busy")
         count = edges.count()
         if count == live_count:
@@ -120,28 +60,27 @@ def _distributed(edges: DataFrame) -> list[DataFrame]:
         live_count = count
 
     # tail: depth of the deepest peeled field a field refers to.
-    tails = reduce(DataFrame.unionByName, rounds).groupBy(*NODE).agg(F.max("gone").alias("tail"))
+    tails = peeled_edges.all().groupBy(*NODE).agg(F.max("gone").alias("tail"))
     own = (F.col("tail") + 1).alias("depth")
     if not live_count:
-        return [tails.select("workbook_id", own)]
+        return tails.select("workbook_id", own)
     core = edges.select(*NODE).distinct()
     peeled = tails.join(core, NODE, "left_anti").select("workbook_id", own)
-    return [peeled, *_core_paths(edges, core.join(tails, NODE, "left"))]
+    return peeled.unionByName(_core_paths(edges, core.join(tails, NODE, "left")))
 
 
-def _core_paths(edges: DataFrame, core: DataFrame) -> list[DataFrame]:
-    """Path lengths through the core, one frame of (workbook_id, depth) per round.
+def _core_paths(edges: DataFrame, core: DataFrame) -> DataFrame:
+    """Path lengths through the core: (workbook_id, depth).
 
     A path grows by one field a round. Paths that visited the same fields and ended at the same one have
     the same future, so one of them goes on. The tail below the last field is known from phase one.
     """
     core = cut_lineage(core.select("workbook_id", "src", F.coalesce("tail", F.lit(0)).alias("tail")))
     paths = core.select("workbook_id", F.col("src").alias("last"), F.array("src").alias("seen"), "tail")
-    ends, length = [], 1
+    key = core.schema["workbook_id"].dataType.simpleString()
+    ends, length = Rounds(core.sparkSession, f"workbook_id {key}, depth int"), 1
     while True:
-        ends.append(
-            paths.groupBy("workbook_id").agg((F.max("tail") + length).alias("depth"))
-        )
+        ends.add(paths.groupBy("workbook_id").agg((F.max("tail") + length).alias("depth")))
         steps = edges.select("workbook_id", F.col("src").alias("last"), F.col("dst").alias("next"))
         grown = (
             paths.drop("tail")
@@ -158,4 +97,4 @@ def _core_paths(edges: DataFrame, core: DataFrame) -> list[DataFrame]:
         paths = cut_lineage(grown)
         length += 1
         if paths.isEmpty():
-            return ends
+            return ends.all()

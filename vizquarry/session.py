@@ -56,6 +56,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """What the rounds of a loop leave, in one table; its plan stays one scan however many rounds there are."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.used = spark, schema, False
+        self.path = os.path.join(scratch_dir(spark), f"rounds-{uuid.uuid4().hex}")
+
+    def add(self, df: DataFrame) -> None:
+        df.write.mode("append").parquet(self.path)
+        self.used = True
+
+    def all(self) -> DataFrame:
+        if not self.used:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 _SHIPPED: set[str] = set()
 
 

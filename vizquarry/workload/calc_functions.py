@@ -162,21 +162,29 @@ def fn_passthrough(spark, sf):
     return union_all(parts)
 
 
-def _per_unit(prefix, shape):
+def _unit_views(spark, sf, prefix):
+    """The views of all units and the source that they share."""
+    views = {u: _view(spark, sf, f"{prefix}.{u}") for u in UNITS}
+    return views, next(iter(views.values())).source()
+
+
+def _unit_totals(prefix, keys, name, kind):
+    """One aggregation with a column per unit, then a row per unit."""
+
     def run(spark, sf):
-        parts = []
-        for u in UNITS:
-            view = _view(spark, sf, f"{prefix}.{u}")
-            parts.append(shape(view).select(F.lit(u).alias("unit"), "*"))
-        return union_all(parts)
+        views, source = _unit_views(spark, sf, prefix)
+        wide = source.groupBy(*keys).agg(*[F.expr(v.expr).cast(kind).alias(u) for u, v in views.items()])
+        return wide.unpivot(list(keys), list(views), "unit", name)
 
     return run
 
 
-def _distinct_periods(view):
-    value = F.col(view.slug).cast("timestamp_ntz")
-    return view.select().agg(
-        F.count(F.lit(1)).alias("periods"), F.min(value).alias("first"), F.max(value).alias("last")
+def fn_date_units(spark, sf):
+    views, source = _unit_views(spark, sf, "trunc")
+    values = [F.struct(F.lit(u).alias("unit"), F.expr(v.expr).cast("timestamp_ntz").alias("v")) for u, v in views.items()]
+    periods = source.select(F.explode(F.array(*values)).alias("x")).select("x.unit", "x.v").distinct()
+    return periods.groupBy("unit").agg(
+        F.count(F.lit(1)).alias("periods"), F.min("v").alias("first"), F.max("v").alias("last")
     )
 
 
@@ -187,12 +195,10 @@ QUERIES = {
     "fn_approx": fn_approx,
     "fn_collect": fn_collect,
     "fn_passthrough": fn_passthrough,
-    "fn_date_units": _per_unit("trunc", _distinct_periods),
-    "fn_dateadd": _per_unit("add", lambda v: v.select().select(F.col(v.slug).cast("timestamp_ntz").alias("latest"))),
-    "fn_datediff": _per_unit("diff", lambda v: v.select("return_flag").select(
-        "return_flag", F.col(v.slug).cast("bigint").alias("total"))),
-    "fn_datepart": _per_unit("part", lambda v: v.select("return_flag").select(
-        "return_flag", F.col(v.slug).cast("double").alias("total"))),
+    "fn_date_units": fn_date_units,
+    "fn_dateadd": _unit_totals("add", (), "latest", "timestamp_ntz"),
+    "fn_datediff": _unit_totals("diff", ("return_flag",), "total", "bigint"),
+    "fn_datepart": _unit_totals("part", ("return_flag",), "total", "double"),
 }
 
 _MONTHS = """trunc(((year(ship_date) * 12 + month(ship_date)) * 32 + day(ship_date)
