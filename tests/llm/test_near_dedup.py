@@ -104,6 +104,17 @@ def test_signature_estimates_jaccard():
         assert abs((a == b).mean() - want) < 4 * (want * (1 - want) / near_dedup.COORDINATES) ** 0.5
 
 
+def test_sketches_differ_by_distance():
+    draw = np.random.default_rng(1)
+    both = draw.integers(0, 2**63, 900, dtype=np.int64).view(np.uint64)
+    own = [draw.integers(0, 2**63, 100, dtype=np.int64).view(np.uint64) for _ in range(2)]
+    a, b = (near_dedup.sketch(np.concatenate([both, x])) for x in own)
+    differ = int(np.unpackbits((a ^ b).view(np.uint8)).sum())
+    p = (1 - 900 / 1100) / 2
+    assert abs(differ - 1024 * p) < 4 * (1024 * p * (1 - p)) ** 0.5
+    assert differ <= near_dedup.most_differing(80) < 1024 * (1 - 0.65) / 2
+
+
 def test_rolling_hash_tells_shingles_apart():
     words = "a b c a b c b a".split()
     hashes = shingles.rolling(shingles.word_hashes(words), 3)
