@@ -5,12 +5,14 @@
    by k and its minimum is coordinate k. ``BANDS`` bands of ``ROWS`` coordinates, drawn from all of them, give buckets.
 3. A bucket isn't expanded into its pairs. First its smallest member is compared with the others, on full shingle
    sets. Members that this links, directly or through other buckets, need no more. Buckets that still hold several
-   components get up to ``PIVOTS`` further pivots a round; each is compared with the members of other components
-   and then leaves the bucket. This ends when no bucket holds two components with a pair not yet compared, so no
-   pair that shares a bucket is ever dropped.
+   components get up to ``PIVOTS`` further pivots, four times as many in each later round; a pivot is compared with the
+   members of other components and then leaves the bucket. This ends when no bucket holds two components with a pair
+   not yet compared. A bucket of thousands holds many pairs a little below the limit, so from the second pivot on a
+   pair's texts are read only if longer sketches, of 1,024 coordinates, don't rule it out at four deviations.
 4. Connected components over the verified links; the smallest id is the component's.
 
-A pair at the limit of 0.8 shares no bucket with probability 5e-6, at 0.85 with 6e-9.
+A pair at the limit of 0.8 shares no bucket with probability 5e-6, at 0.85 with 6e-9; the sketches rule out one at
+the limit with probability 3e-5 and one 0.02 above it with 3e-7. No pair is left out by number, size or rank.
 
 Defined results: null and wordless texts have 0 shingles, are linked with nothing and kept; fewer words than the
 width are one shingle; repeated rows are copies; a null id gets its class's component and is kept only where the
@@ -26,7 +28,12 @@ from vizquarry.llm import shingles
 from vizquarry.session import cut_lineage
 
 COORDINATES, ROWS, BANDS = 128, 6, 40
-PIVOTS = 32
+PIVOTS, MOST_PIVOTS = 64, 4096
+#: One bit of each of so many further coordinates, kept as that many 64-bit words.
+SKETCH_BITS = 1024
+SKETCH_WORDS = SKETCH_BITS // 64
+#: A low bit: minima are small numbers, their high bits are nearly all 0.
+_SKETCH_BIT = 17
 _MIX = tuple(np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 _S32, _S33 = np.uint64(32), np.uint64(33)
 #: Elements of one step, so that its arrays stay in cache.
@@ -39,7 +46,7 @@ def _bands() -> np.ndarray:
     return np.stack([draw.choice(COORDINATES, ROWS, replace=False) for _ in range(BANDS)])
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """All coordinates of a set of 64-bit shingle hashes."""
     x = hashes.copy()
     x ^= x >> _S33
@@ -47,8 +54,8 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     x ^= x >> _S33
     x *= _MIX[1]  # the scrambling permutation; what follows is the shifted one
     x *= _MIX[2]
-    shift = (np.arange(COORDINATES, dtype=np.uint64) * _MIX[2])[:, None]
-    least = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    shift = (np.arange(coordinates, dtype=np.uint64) * _MIX[2])[:, None]
+    least = np.full(coordinates, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(x), _STEP):
         y = x[None, at : at + _STEP] + shift
         y ^= y >> _S32
@@ -89,6 +96,33 @@ def _signed(width: int):
     return run
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One bit of each of many coordinates: two sets differ in (1 - Jaccard) / 2 of them, on average."""
+    bits = signature(hashes, SKETCH_BITS) >> np.uint64(_SKETCH_BIT) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def most_differing(percent: int) -> int:
+    """Bits that the sketches of two similar enough sets differ in, at most, with four deviations to spare."""
+    p = (1 - percent / 100) / 2
+    return int(np.ceil(SKETCH_BITS * p + 4 * np.sqrt(SKETCH_BITS * p * (1 - p))))
+
+
+def _sketched(width: int):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for text in batch.column("text"):
+                hashes = np.unique(shingles.rolling(shingles.word_hashes(text.as_py().split(" ")), width))
+                found.append(sketch(hashes).tolist())
+            made = pa.array(found, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("buckets"), made], ["rep", "buckets", "sketch"])
+
+    return run
+
+
 def _similar(width: int, percent: int):
     def run(batches):
         import pyarrow as pa
@@ -114,7 +148,6 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, labels.node == near.a).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        step = cut_lineage(step)
         # Jump: take over the label of the node that is one's label.
         above = step.select(F.col("node").alias("label"), F.col("label").alias("above"))
         jumped = step.join(above, "label").select("node", "old", F.col("above").alias("label"))
@@ -124,6 +157,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links, worked out on the components that these join."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+    nodes = cut_lineage(nodes)
+    of = lambda x: nodes.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
+    joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    over = components(joined.where("a <> b").distinct()).select(F.col("node").alias("label"), F.col("label").alias("over"))
+    return cut_lineage(nodes.join(over, "label", "left").select("node", F.coalesce("over", "label").alias("label")))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -136,8 +180,8 @@ def _sizes_allow(a, b, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _links(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Verified links between class representatives, and the component of each that has one."""
+def _labels(classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The component of each class representative that has a verified link: node, label."""
     texts = classes.where("rep IS NOT NULL")
     rows = texts.select(F.explode("buckets").alias("bucket"), "rep", F.col("n_shingles").alias("n"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.min(F.struct("rep", "n")).alias("pivot"))
@@ -146,27 +190,39 @@ def _links(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     pairs = live.where("rep <> pivot.rep").select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n").alias("na"), "n")
     pairs = pairs.where(_sizes_allow(F.col("na"), F.col("n"), percent)).select("a", "b").distinct()
     compared = cut_lineage(pairs)
+    # Only texts that share a bucket are read from here on.
+    members = live.select("rep").distinct()
+    texts = cut_lineage(texts.select("rep", "text", "buckets").join(members, "rep", "left_semi"))
     links = cut_lineage(_verified(compared, texts, width, percent))
     live = live.where("rep <> pivot.rep").select("bucket", "rep", "n")
-    turn = 0
+    labels, turn, pivots, sketches = components(links), 0, PIVOTS, None
     while True:
-        labels = components(links)
         turn += 1
         rows = live.join(labels, live.rep == labels.node, "left").select("bucket", "rep", "n", F.coalesce("label", "rep").alias("label"))
         mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         live = cut_lineage(rows.join(mixed.select("bucket"), "bucket", "left_semi"))
         if live.isEmpty():
-            return links, labels
-        slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(PIVOTS))
-        chosen = live.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("rep", "n", "label")).alias("pivot"))
-        chosen = cut_lineage(chosen.select("bucket", F.col("pivot.rep").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.label").alias("pl")))
-        met = live.join(chosen, "bucket").where((F.col("label") != F.col("pl")) & _sizes_allow(F.col("n"), F.col("pn"), percent))
-        pairs = met.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
+            return labels
+        if sketches is None:
+            asked = texts.join(live.select("rep").distinct(), "rep", "left_semi").select("rep", "text", "buckets")
+            made = asked.mapInArrow(_sketched(width), "rep long, buckets array<long>, sketch array<long>")
+            sketches = cut_lineage(made.dropDuplicates(["rep"]))
+        slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(pivots))
+        pivots = min(MOST_PIVOTS, 4 * pivots)
+        chosen = cut_lineage(live.groupBy("bucket", slot.alias("slot")).agg(F.min("rep").alias("rep")).select("bucket", "rep"))
+        members = live.join(sketches, "rep")
+        x, y = members.alias("x"), members.join(chosen, ["bucket", "rep"], "left_semi").alias("y")
+        differ = sum(F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_WORDS))
+        # A pair meets in each bucket it shares; it counts in the first of them.
+        first = F.get(F.array_intersect("x.buckets", "y.buckets"), F.lit(0)) == F.col("x.bucket")
+        near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
+        near = near & _sizes_allow(F.col("x.n"), F.col("y.n"), percent) & (differ <= most_differing(percent)) & first
+        pairs = x.join(y, near).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
         pairs = cut_lineage(pairs.join(compared, ["a", "b"], "left_anti"))
-        links = cut_lineage(links.union(_verified(pairs, texts, width, percent)))
-        compared = compared.union(pairs)
-        done = chosen.select("bucket", F.col("p").alias("rep"))
-        live = live.join(done, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n")
+        links = cut_lineage(_verified(pairs, texts, width, percent))
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
+        live = live.join(chosen, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n")
 
 
 def near_duplicates(
@@ -178,7 +234,7 @@ def near_duplicates(
     classes = normal.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("text").alias("text"))
     signed = classes.mapInArrow(_signed(width), "digest binary, rep long, text string, n_shingles long, buckets array<long>")
     classes = cut_lineage(signed)
-    _, labels = _links(classes, width, percent)
+    labels = _labels(classes, width, percent)
     named = classes.select("digest", "rep", "n_shingles").join(labels, F.col("rep") == F.col("node"), "left")
     named = named.select("digest", "n_shingles", F.coalesce("label", "rep").alias("component"))
     found = normal.select("doc_id", "digest").join(named, "digest", "left")
