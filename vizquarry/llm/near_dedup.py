@@ -28,7 +28,7 @@ from vizquarry.llm import shingles
 from vizquarry.session import cut_lineage
 
 COORDINATES, ROWS, BANDS = 128, 6, 40
-PIVOTS, MOST_PIVOTS = 64, 4096
+PIVOTS, MOST_PIVOTS = 1024, 4096
 #: One bit of each of so many further coordinates, kept as that many 64-bit words.
 SKETCH_BITS = 1024
 SKETCH_WORDS = SKETCH_BITS // 64
