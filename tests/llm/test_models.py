@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vizquarry.llm import language, quality_model, registry, toxicity
 
@@ -169,3 +170,32 @@ def test_toxicity_of_insults(spark):
 def test_windows_hold_all_words(n):
     words = [f"w{k}" for k in range(n)]
     assert b" ".join(toxicity.windows(" ".join(words))).decode().split() == words
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_toxic_rows_are_found_at_both_sizes(spark, sf):
+    docs, labels = (registry.table(spark, f"/root/testdata/{sf}", x) for x in ("documents", "labels"))
+    marks = labels.selectExpr("doc_id AS id", "toxic")
+    got = toxicity.classify(docs, labels).join(marks, F.col("doc_id") == F.col("id")).where("held_out").collect()
+    hits = sum(r.predicted for r in got if r.toxic == 1)
+    assert hits >= 0.6 * sum(r.toxic == 1 for r in got) and hits >= 0.8 * sum(r.predicted for r in got)
+
+
+@pytest.mark.parametrize("n", [60, 600])
+def test_telling_segments_of_full_and_small_samples(n):
+    draw = random.Random(n)
+    rows = [toxicity.windows(texts_of(draw, "ka to mi ra no lu".split(), 24)) for _ in range(2 * n)]
+    for k in range(25):
+        rows[k][0] += b"nitwit" + b"abc"[k % 3 : k % 3 + 1] + b" "
+    rows[30] = [w + b"oneoff " for w in toxicity.windows(texts_of(draw, ["mi"], 600))]  # a single row
+    candidates = {s for row in rows for w in row for x in w.split() for s in toxicity.beginnings(x)}
+    kept = toxicity.telling_segments(candidates, rows[:n], rows[n:])
+    assert kept and all(b"nitwit".startswith(s) or s.startswith(b"nitw") for s in kept)
+
+
+def test_nothing_telling(spark):
+    draw = random.Random(9)
+    rows = [(k, texts_of(draw, "ka to mi ra no lu".split(), 40)) for k in range(100)]
+    marks = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    got = toxicity.classify(spark.createDataFrame(rows, "doc_id long, text string"), marks).collect()
+    assert {(r.score, r.predicted) for r in got} == {(0.0, 0)}
