@@ -199,3 +199,22 @@ def test_nothing_telling(spark):
     marks = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
     got = toxicity.classify(spark.createDataFrame(rows, "doc_id long, text string"), marks).collect()
     assert {(r.score, r.predicted) for r in got} == {(0.0, 0)}
+
+
+def test_threshold_comes_from_whole_texts(spark):
+    draw = random.Random(12)
+    plain = lambda n: texts_of(draw, "ka to mi ra no lu".split(), n).split()
+    docs = []
+    for k in range(306):
+        words = plain(60 if k < 300 else 4800)
+        if k >= 300:  # 400 windows, of which every other one used to be left out
+            words[15] = "nitwit"
+        elif k % 3 == 0:
+            words[5] = words[17] = words[40] = "nitwit"
+        docs.append((k, " ".join(words), int(k % 3 == 0 or k >= 300)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.drop("toxic"), frame.drop("text"), F.lit(True), "doc_id", "text", "toxic")
+    threshold = model.threshold
+    toxicity.calibrate(model, [(model.evidence(toxicity.windows(t)), y) for _, t, y in docs])
+    assert threshold == pytest.approx(model.threshold)
+    assert all(model.evidence(toxicity.windows(t)) > threshold for _, t, y in docs if y)
