@@ -125,6 +125,13 @@ def test_pages(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("odd", ["<![foo bar]>", "<![ b>", "<![>", "<![if x", "<![CDATA[ x", "<![foo", "<!-", "<!>", "<!foo [x]>"])
+def test_odd_declarations_end_nothing(odd):
+    assert html_text.main_text(f"<article><p>Before, it stands.</p>{odd}</article>").startswith("Before, it stands.")
+    if odd.endswith(">"):
+        assert html_text.main_text(f"<p>a {odd} b</p>") == "a b"
+
+
 # --- decontamination --------------------------------------------------------------------------------------------
 
 

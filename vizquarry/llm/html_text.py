@@ -96,6 +96,16 @@ class Tree(HTMLParser):
                 return
             node = node.parent
 
+    def parse_html_declaration(self, i):
+        """A marked section that the library doesn't know is a bogus comment, as in browsers."""
+        try:
+            k = super().parse_html_declaration(i)
+        except AssertionError:
+            k = -1
+        if k < 0 and self.rawdata.startswith("<![", i):
+            k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
+        return k
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK_TAGS:
             self._close(("p",))
