@@ -132,6 +132,34 @@ def test_odd_declarations_end_nothing(odd):
         assert html_text.main_text(f"<p>a {odd} b</p>") == "a b"
 
 
+@pytest.mark.parametrize("odd", ["<![foo bar]>", "<![ b>", "<![>", "<![if x", "<![CDATA[ x", "<![foo", "<!-", "<!>", "<!foo [x]>"])
+def test_odd_declarations_end_nothing(odd):
+    assert html_text.main_text(f"<article><p>Before, it stands.</p>{odd}</article>").startswith("Before, it stands.")
+    if odd.endswith(">"):
+        assert html_text.main_text(f"<p>a {odd} b</p>") == "a b"
+
+
+LONG = "<p>Some text, long enough, to be the article, of this page.</p><p>More of it, at length, follows here.</p>"
+LONG_TEXT = "Some text, long enough, to be the article, of this page.\nMore of it, at length, follows here."
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><meta charset=utf-8><body><div>{LONG}</div></body></html>",
+    f"<head><title>T</title><div>{LONG}</div>",
+    f"<head><title>T</title><noscript><p>Off</p></noscript><article>{LONG}</article>",
+])
+def test_open_head(page):
+    assert html_text.main_text(page) == LONG_TEXT
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-sidebar", "with-banner", "page-widget"])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main>{}</main>"])
+def test_wrapper_named_like_a_part(name, inner):
+    comments = "<div class='comments'>" + "<p>So, well, I, for one, think, this, is, too, long, by, far.</p>" * 9 + "</div>"
+    page = f"<body><div class='{name}'>{inner.format(LONG)}<div class='sidebar'><p>Side, only.</p></div></div>{comments}</body>"
+    assert html_text.main_text(page) == LONG_TEXT
+
+
 # --- decontamination --------------------------------------------------------------------------------------------
 
 

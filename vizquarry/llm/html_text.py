@@ -1,6 +1,7 @@
 """Main text of web pages by tree scoring.
 
-Each page becomes a tree. Parts that never hold the article (menus, forms, scripts ...) are cut off. Every paragraph
+Each page becomes a tree. Parts that never hold the article (menus, forms, scripts ...) are cut off; a class or id name
+cuts no wrapper of the article. Every paragraph
 scores a point, a point for each comma and up to three for its length, discounted by the share of its text that stands
 in links; its parent receives the points, its grandparent half of them, and each ancestor above a third of what the
 one below got. The container with the most points after its own link discount is the article, or the article element
@@ -37,6 +38,10 @@ CUT_WORDS = frozenset(
     "widget skip toolbar".split()
 )
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Marks of what readers write, which may be longer than the article.
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: What a head holds; anything else ends it.
+HEAD_TAGS = frozenset("head title meta link script style noscript template base basefont bgsound noframes".split())
 #: An element that is still open is closed when one of these begins.
 CLOSED_BY = {
     "li": ("li",),
@@ -53,24 +58,30 @@ _COMMAS = re.compile(r"[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "score", "scored", "length", "linked", "order")
+    __slots__ = ("tag", "parent", "parts", "cut", "named", "score", "scored", "length", "linked", "order")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool, order: int):
         self.tag, self.parent, self.cut, self.order = tag, parent, cut, order
         self.parts: list = []
+        self.named: set = set()
         self.score, self.scored, self.length, self.linked = 0.0, False, 0, 0
 
 
+def names(tag: str, attributes: list) -> set:
+    """The words in class and id that say that the element is no part of the article."""
+    if tag in WHOLE_TAGS:
+        return set()
+    return {w for name, value in attributes if name in ("class", "id") for w in _WORDS.findall((value or "").lower())} & CUT_WORDS
+
+
 def marked(tag: str, attributes: list) -> bool:
-    """Does the element say itself that it is no part of the article?"""
+    """Does the element say itself, other than by a name, that it is no part of the article?"""
     if tag in CUT_TAGS:
         return True
     if tag in WHOLE_TAGS:
         return False
     for name, value in attributes:
         value = (value or "").lower()
-        if name in ("class", "id") and not CUT_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
         if name == "role" and value in CUT_ROLES or name == "aria-hidden" and value == "true":
             return True
         if name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
@@ -106,12 +117,43 @@ class Tree(HTMLParser):
             k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
         return k
 
+    def parse_html_declaration(self, i):
+        """A marked section that the library doesn't know is a bogus comment, as in browsers."""
+        try:
+            k = super().parse_html_declaration(i)
+        except AssertionError:
+            k = -1
+        if k < 0 and self.rawdata.startswith("<![", i):
+            k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
+        return k
+
+    def _end_head(self, anywhere: bool) -> None:
+        node = self.at
+        while anywhere and node.parent is not None and node.tag != "head":
+            node = node.parent
+        if node.tag == "head":
+            self.at = node.parent
+
+    def parse_html_declaration(self, i):
+        """A marked section that the library doesn't know is a bogus comment, as in browsers."""
+        try:
+            k = super().parse_html_declaration(i)
+        except AssertionError:
+            k = -1
+        if k < 0 and self.rawdata.startswith("<![", i):
+            k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
+        return k
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._end_head(tag == "body")
         if tag in BLOCK_TAGS:
             self._close(("p",))
         if tag in CLOSED_BY:
             self._close(CLOSED_BY[tag], SCOPES - {"td", "th"})
         node = Node(tag, self.at, self.at.cut or marked(tag, attrs), len(self.nodes))
+        if not node.cut:
+            node.named = names(tag, attrs)
         self.at.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID_TAGS:
@@ -130,6 +172,8 @@ class Tree(HTMLParser):
             self.at = node.parent
 
     def handle_data(self, data):
+        if self.at.tag == "head" and data.strip():
+            self._end_head(False)
         if not self.at.cut:
             self.at.parts.append(data)
 
@@ -175,14 +219,48 @@ def is_paragraph(node: Node) -> bool:
     return own and (node.tag in ("div", "section") and not blocks or node.tag in ("article", "main", "body", ""))
 
 
+def paragraph_points(node: Node) -> float:
+    if node.cut or not node.length or not is_paragraph(node):
+        return 0.0
+    text = " ".join(inner_text(node).split())
+    return (1 + len(_COMMAS.findall(text)) + min(len(text) / 100, 3)) * (1 - density(node)) if text else 0.0
+
+
+def cut_named(nodes: list[Node]) -> None:
+    """Cut what its name marks, but not a wrapper of the article.
+
+    That is an element with the main element and, where no article or main element has paragraphs outside named elements,
+    one with over three quarters of the page's paragraph points, comments aside, or with an article element.
+    """
+    measure(nodes)
+    named, commented = [False] * len(nodes), [False] * len(nodes)
+    for x in nodes[1:]:
+        named[x.order] = bool(x.named) or named[x.parent.order]
+        commented[x.order] = not COMMENT_WORDS.isdisjoint(x.named) or commented[x.parent.order]
+    inside = [False] * len(nodes)
+    for x in nodes[1:]:
+        inside[x.order] = x.tag in ("article", "main") or inside[x.parent.order]
+    outside = any(inside[x.order] and not named[x.order] and paragraph_points(x) for x in nodes)
+    points = [0.0 if commented[x.order] else paragraph_points(x) for x in nodes]
+    several = [int(p > 0) for p in points]
+    holds = [x.tag == "main" or x.tag == "article" and not outside and not commented[x.order] for x in nodes]
+    for x in reversed(nodes[1:]):
+        if not x.cut:
+            points[x.parent.order] += points[x.order]
+            several[x.parent.order] += several[x.order]
+            holds[x.parent.order] |= holds[x.order] and bool(x.length)
+    for x in nodes[1:]:
+        wraps = holds[x.order] or not outside and several[x.order] > 1 and 4 * points[x.order] > 3 * points[0]
+        x.cut = x.cut or x.parent.cut or bool(x.named) and not wraps
+    for x in nodes:
+        x.length = x.linked = 0
+
+
 def best_container(nodes: list[Node]) -> Node | None:
     for node in nodes:
-        if node.cut or not node.length or not is_paragraph(node):
-            continue
-        text = " ".join(inner_text(node).split())
-        if not text:
+        points = paragraph_points(node)
+        if node.cut or not points and not (node.length and is_paragraph(node) and inner_text(node).strip()):
             continue
-        points = (1 + len(_COMMAS.findall(text)) + min(len(text) / 100, 3)) * (1 - density(node))
         above, share = (node.parent, 1.0) if node.parent is not None and node.tag not in ("article", "main", "body") else (node, 1.0)
         level = 0
         while above is not None and points * share > 1e-3:
@@ -251,6 +329,12 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     nodes = parse(html)
+    if any(x.named for x in nodes):
+        cut_named(nodes)
+    return article(nodes)
+
+
+def article(nodes: list[Node]) -> str:
     measure(nodes)
     best = best_container(nodes)
     return "\n".join(blocks(kept_siblings(best))) if best is not None else ""
