@@ -45,15 +45,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared scratch folder and read it back; also the folder, for ``remove``.
 
     The copy survives the loss of executors, and Catalyst sees real file sizes when it plans the next
     round of a loop.
     """
     path = os.path.join(scratch_dir(df.sparkSession), f"round-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a stored table."""
+    return stored(df)[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Give back the space of a stored round that nothing reads any more, wherever Spark stored it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 class Rounds:
