@@ -6,9 +6,9 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vizquarry.llm import decontaminate, html_text, language, mixing, near_dedup, quality_model, quality_rules, token_counts, token_file, toxicity
+from vizquarry.llm import clusters, decontaminate, html_text, language, mixing, near_dedup, negatives, quality_model, quality_rules, token_counts, token_file, toxicity
 from vizquarry.session import scratch_dir, ship_package
 
 
@@ -80,6 +80,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.corpus_rows(table(spark, sf_dir, "documents"), MIX_SHARE, MIX_EPOCHS)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -91,10 +100,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_clusters": op13_clusters,
 }
 
 #: Queries that SQL can express.
 CHECKS: dict[str, str] = {
     "op7_decontamination": decontaminate.CHECK,
     "op10_mixing": mixing.check(MIX_SHARE, MIX_EPOCHS),
+    "op12_hard_negatives": negatives.CHECK,
+    "op13_clusters": clusters.check(),
 }
