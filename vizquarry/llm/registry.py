@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vizquarry.llm import clusters, decontaminate, html_text, language, mixing, near_dedup, negatives, quality_model, quality_rules, token_counts, token_file, toxicity
+from vizquarry.llm import clusters, decontaminate, html_text, language, mixing, near_dedup, negatives, quality_model, quality_rules, repeats, token_counts, token_file, toxicity
 from vizquarry.session import scratch_dir, ship_package
 
 
@@ -80,6 +80,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.corpus_rows(table(spark, sf_dir, "documents"), MIX_SHARE, MIX_EPOCHS)
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
+    "op11_repeats": op11_repeats,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_clusters": op13_clusters,
 }
