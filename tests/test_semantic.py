@@ -150,6 +150,31 @@ def test_sql_functions(spark):
     assert tuple(row) == ("COALESCE(x, 0)", None, "LOD expression (FIXED/INCLUDE/EXCLUDE)", "measure", "dimension")
 
 
+def test_sql_functions_read_formulas_without_comments(spark):
+    register_functions(spark)
+    rows = [("SUM([a b]) /* {x} */",), ("SUM([a b]) // LOOKUP(",), ("'// [x]' + [a b]",), (None,), ("/* SUM( */ [`SUM(`]",)]
+    spark.createDataFrame(rows, "f string").createOrReplaceTempView("commented")
+    got = spark.sql(
+        "SELECT formula_text(f), formula_refusal(f), formula_to_sql(f), formula_to_sql(f, map('a b', 'c')),"
+        " formula_kind(formula_to_sql(f)) FROM commented"
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("SUM([a b])", None, "SUM(`a b`)", "SUM(c)", "measure"),
+        ("SUM([a b])", None, "SUM(`a b`)", "SUM(c)", "measure"),
+        ("'// [x]' + [a b]", None, "'// [x]' + `a b`", "'// [x]' + c", "dimension"),
+        (None, None, None, None, None),
+        ("[`SUM(`]", None, "```SUM(```", "```SUM(```", "dimension"),
+    ]
+
+
+def test_translation_ignores_comments():
+    from vizquarry.functions.translate import translate
+
+    assert translate("SUM([a]) /* {x} */", {})[0] == "SUM(a)"
+    assert translate("SUM([a]) // LOOKUP(", {})[0] == "SUM(a)"
+    assert translate("'/* {x} */' + [a]", {})[0] == "'/* {x} */' + a"
+
+
 def test_profile_and_widgets(spark):
     df = spark.sql(
         "SELECT id, 'c' || id % 3 AS cat, CAST(NULL AS string) AS nothing, DATE'2024-01-01' + CAST(id AS int) AS d,"

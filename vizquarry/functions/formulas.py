@@ -7,6 +7,14 @@ from pyspark.sql import Column, functions as F
 from vizquarry import fixed
 
 
+BLOCK_COMMENT = r"(?s)/\*.*?\*/"
+LINE_BREAK = r"\r\n|[\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: What precedes a comment of a line, as group 1, and the comment.
+LINE_COMMENT = r"""(?m)^((?:"[^"\n]*"|'[^'\n]*'|[^"'/\n]|/(?!/))*+)//[^\n]*"""
+#: Literals and quoted names of SQL text, in which a call isn't one.
+SQL_LITERAL = r"(?s)'(?:[^'\\]|\\.)*'|`[^`]*`"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -19,11 +27,9 @@ def strip_comments(c: Column | str) -> Column:
     texts that hold what it looks for.
     """
     text = _col(c)
-    text = F.when(text.contains("/*"), F.regexp_replace(text, r"(?s)/\*.*?\*/", "")).otherwise(text)
-    breaks = r"\r\n|[\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
-    text = F.when(text.rlike(breaks), F.regexp_replace(text, breaks, "\n")).otherwise(text)
-    line_comment = r"""(?m)^((?:"[^"\n]*"|'[^'\n]*'|[^"'/\n]|/(?!/))*+)//[^\n]*"""
-    text = F.when(text.contains("//"), F.regexp_replace(text, line_comment, "$1")).otherwise(text)
+    text = F.when(text.contains("/*"), F.regexp_replace(text, BLOCK_COMMENT, "")).otherwise(text)
+    text = F.when(text.rlike(LINE_BREAK), F.regexp_replace(text, LINE_BREAK, "\n")).otherwise(text)
+    text = F.when(text.contains("//"), F.regexp_replace(text, LINE_COMMENT, "$1")).otherwise(text)
     return F.btrim(text, F.lit(fixed.BLANK_CHARACTERS))
 
 
@@ -70,7 +76,7 @@ def refusal(c: Column | str) -> Column:
 
 def kind(c: Column | str) -> Column:
     """``measure`` when the SQL text calls an aggregate outside literals, else ``dimension``."""
-    plain = F.regexp_replace(_col(c), r"(?s)'(?:[^'\\]|\\.)*'|`[^`]*`", "''")
+    plain = F.regexp_replace(_col(c), SQL_LITERAL, "''")
     return F.when(plain.rlike("(?i)" + fixed.AGGREGATE_PATTERN), F.lit("measure")).otherwise(
         F.lit("dimension")
     )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F, types as T
 
 from vizquarry import fixed
+from vizquarry.functions import formulas
 from vizquarry.functions.translate import translate
 
 
@@ -13,22 +16,33 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _replaced(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, {_literal(pattern)}, {_literal(by)})"
+
+
+@F.pandas_udf(T.StringType())
+def _rendered(texts: pd.Series, columns: pd.Series) -> pd.Series:
+    rows = [None if f is None else translate(f, json.loads(m) if m else {})[0] for f, m in zip(texts, columns)]
+    return pd.Series(rows, dtype=object)
+
+
 def register_functions(spark: SparkSession) -> list[str]:
-    """``formula_to_sql``, ``formula_refusal`` and ``formula_kind`` for use in SQL over a calc table."""
-
-    @F.pandas_udf("string")
-    def formula_to_sql(formulas: pd.Series) -> pd.Series:
-        return formulas.map(lambda f: None if f is None else translate(f, {})[0])
-
-    spark.udf.register("formula_to_sql", formula_to_sql)
-    plain = f"regexp_replace(f, {_literal('(?s)' + fixed.STRING_LITERAL)}, {_literal(chr(39) * 2)})"
-    cases = " ".join(
-        f"WHEN {plain} RLIKE {_literal('(?i)' + p)} THEN {_literal(label)}" for p, label in fixed.REFUSALS
-    )
-    kind = (
-        f"CASE WHEN {plain} RLIKE {_literal('(?i)' + fixed.AGGREGATE_PATTERN)}"
-        " THEN 'measure' ELSE 'dimension' END"
-    )
-    for name, body in {"formula_refusal": f"CASE {cases} END", "formula_kind": kind}.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(f STRING) RETURNS STRING RETURN {body}")
-    return ["formula_to_sql", "formula_refusal", "formula_kind"]
+    """``formula_text``, ``formula_to_sql``, ``formula_refusal`` and ``formula_kind`` for SQL over a calc table.
+
+    ``formula_text`` is a formula without its comments; the others start from it. ``formula_to_sql`` takes a map of
+    references to columns as an optional second argument. ``formula_kind`` is about the SQL text, and null without one.
+    """
+    spark.udf.register("formula_rendered", _rendered)
+    text = _replaced(_replaced(_replaced("f", formulas.BLOCK_COMMENT, ""), formulas.LINE_BREAK, "\n"), formulas.LINE_COMMENT, "$1")
+    plain = _replaced("formula_text(f)", "(?s)" + fixed.STRING_LITERAL, "''")
+    cases = " ".join(f"WHEN {plain} RLIKE {_literal('(?i)' + p)} THEN {_literal(label)}" for p, label in fixed.REFUSALS)
+    measure = f"{_replaced('f', formulas.SQL_LITERAL, chr(39) * 2)} RLIKE {_literal('(?i)' + fixed.AGGREGATE_PATTERN)}"
+    bodies = {
+        "formula_text(f STRING)": f"btrim({text}, {_literal(fixed.BLANK_CHARACTERS)})",
+        "formula_to_sql(f STRING, columns MAP<STRING, STRING> DEFAULT NULL)": "formula_rendered(formula_text(f), to_json(columns))",
+        "formula_refusal(f STRING)": f"CASE {cases} END",
+        "formula_kind(f STRING)": f"CASE WHEN f IS NULL THEN NULL WHEN {measure} THEN 'measure' ELSE 'dimension' END",
+    }
+    for head, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURNS STRING RETURN {body}")
+    return [head.split("(")[0] for head in bodies]

@@ -255,14 +255,18 @@ def join_key_check(spark, sf):
     )
 
 
+_COLUMNS = {n: n.lower().replace(" ", "_") for n in ("Extended Price", "Discount", "Quantity", "Order Id", "Ship Date")}
+_COLUMN_MAP = ", ".join(f"'{k}', '{v}'" for k, v in _COLUMNS.items())
+
+
 def sql_udf_translate(spark, sf):
     fx.load(spark, sf)
     register_functions(spark)
     fx.view(spark, sf, "wb_calcs").createOrReplaceTempView("estate_calcs")
-    return spark.sql(
-        "SELECT workbook_id, CAST(calc_ord AS BIGINT) AS calc_ord, formula_to_sql(formula) AS expr,"
-        " coalesce(formula_refusal(formula), '') AS reason FROM estate_calcs"
-    )
+    return spark.sql(f"""SELECT workbook_id, calc_ord, formula_to_sql(raw) AS expr, formula_to_sql(raw, columns) AS mapped,
+        formula_kind(formula_to_sql(raw, columns)) AS kind, coalesce(formula_refusal(raw), '') AS reason
+        FROM (SELECT workbook_id, CAST(calc_ord AS BIGINT) AS calc_ord, formula || ' // {{x}} LOOKUP(' AS raw,
+        map({_COLUMN_MAP}) AS columns FROM estate_calcs)""")
 
 
 PLUS = """SELECT workbook_id, CAST(calc_ord AS BIGINT) AS calc_ord,
@@ -317,7 +321,7 @@ _EXPR = """CASE template WHEN 0 THEN 'SUM({ep})' WHEN 1 THEN 'COALESCE({d}, 0) *
 _MAPPED = _EXPR.format(ep="extended_price", d="discount", q="quantity", o="order_id", s="ship_date",
                        div="SUM(extended_price) / SUM(quantity)")
 _QUOTED = _EXPR.format(ep="`Extended Price`", d="Discount", q="Quantity", o="`Order Id`", s="`Ship Date`",
-                       div="SUM(`Extended Price`) / /* c */ SUM(Quantity)")
+                       div="SUM(`Extended Price`) / SUM(Quantity)")
 _JOINED = "sales_lines l LEFT JOIN sales_orders o ON o.order_id = l.order_id"
 
 CHECKS = {
@@ -376,6 +380,8 @@ CHECKS = {
         UNION ALL SELECT 'sales_orders', order_id, 0, count(*) FROM sales_orders GROUP BY order_id
         HAVING count(*) > 1""",
     "sql_udf_translate": f"""SELECT workbook_id, CAST(calc_ord AS BIGINT) AS calc_ord, {_QUOTED} || {_LINK} AS expr,
+        {_MAPPED} || {_LINK} AS mapped,
+        CASE WHEN template IN (0, 6, 9) THEN 'measure' WHEN template IN (1, 5, 7) THEN 'dimension' END AS kind,
         CASE template WHEN 2 THEN 'LOD expression (FIXED/INCLUDE/EXCLUDE)' WHEN 8 THEN 'Tableau parameter reference'
         WHEN 11 THEN 'DATEPARSE (format strings differ)' WHEN 3 THEN 'table calculation'
         WHEN 4 THEN 'table calculation' WHEN 10 THEN 'table calculation' ELSE '' END AS reason FROM wb_calcs""",
