@@ -83,9 +83,23 @@ def test_equal_windows_have_equal_keys():
     found = []
     for n in (0, 37, 611):
         data = np.concatenate([draw.integers(97, 123, n, dtype=np.uint8), passage, draw.integers(97, 123, 300, dtype=np.uint8)])
-        start, last, key, _, tied = repeats.runs(data, np.array([len(data)]), 200, 48)
+        start, last, _, key, _, tied = repeats.runs(data, np.array([len(data)]), 200, 48)
         assert not tied.any()
         of_window = np.repeat(key, last - start + 1)
         assert len(of_window) == len(data) - 199
         found.append(of_window[n : n + 301].tolist())
     assert found[0] == found[1] == found[2]
+
+
+def test_pieces_cover_each_window_once():
+    draw = np.random.default_rng(3)
+    for size in (1, 16):
+        start, lead = draw.integers(0, 1000, 50), draw.integers(0, 153, 50)
+        more = np.array([draw.integers(0, x + 1) for x in lead])
+        run, begin, after, piece = repeats.cut(start, more, lead, size)
+        for k in range(50):
+            own = run == k
+            windows = sorted(w for a, n in zip(begin[own], after[own]) for w in range(a, a + n + 1))
+            assert windows == list(range(start[k], start[k] + more[k] + 1))
+        assert (after < size).all() and (piece <= begin).all() and (begin + after < piece + size).all()
+        assert ((start + lead)[run] - piece - size + 1).min() >= 0 and not (((start + lead)[run] - piece - size + 1) % size).any()

@@ -11,13 +11,16 @@ same anchor form a run; its key is the anchor suffix's first two bytes and then
    are about log2(batches) levels, and a suffix is rewritten that often.
 2. Only runs with a matched key go on. Runs that are alike as a whole (all bytes that their windows span) and occur
    twice are covered as a whole; this settles copies, however many, by counting.
-3. Where a key has several unlike runs, or a run meets its own key again, one run of each kind is opened from its text into
-   its windows, and windows are counted by key and digest.
+3. Where a key has several unlike runs, one run of each kind is cut into pieces of ``PIECE`` windows, aligned with the anchor. What
+   all windows of a piece share is its core. A core that occurs once ends its piece; pieces alike as a whole are
+   covered; one of each other kind is opened into its windows, and windows are counted by digest. So an edit in a near copy
+   opens the few pieces whose core it just misses, not all that it touches. A run that holds its own anchor twice has
+   no alignment; it and the runs with its key are opened into windows at once.
 4. Removed bytes are the union of what covered runs and repeated windows span.
 
 Nothing is compared pair by pair, and every step counts with partial sums, so a passage in a third of all documents is
 like any other. Texts are read in scans; runs to open and the merged spans are sent to the scan while they number
-``SENT`` at most and joined by shuffle beyond. Gram, run and window are compared by 64-bit digests; windows by two (key and window). A row is
+``SENT`` at most and joined by shuffle beyond. Gram, run, core and window are compared by 64-bit digests, the later ones among equal earlier ones. A row is
 known by a 64-bit digest of its id and text.
 
 Defined results: a null text counts as empty; texts shorter than ``LENGTH`` keep all bytes; repeated rows are copies and lose
@@ -35,6 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vizquarry.session import Rounds, cut_lineage, remove, stored
 
 LENGTH, GRAM = 200, 48
+#: Windows of a piece.
+PIECE = 16
 #: Bytes that are hashed at once, so that the arrays stay in cache.
 SLICE = 1 << 16
 #: Batches that the query deals its table into.
@@ -96,13 +101,13 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
-    """start, last, key, whole and tied of each run of windows with one anchor in a slice of texts that end at ``ends``.
+    """start, last, anchor, key, whole and tied of each run of windows with one anchor in a slice of texts that end at ``ends``.
 
     ``start`` and ``last`` are places of windows in the slice, ``whole`` the digest of all they span; ``tied`` says that
     the anchor's gram stands in it more than once.
     """
     if len(data) < length:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
     width = length - gram + 1
     hashed = Hashed(data)
     grams = hashed.every(gram)
@@ -127,7 +132,7 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
     key = (data[at].astype(np.uint64) << _U(56)) | (data[at + 1].astype(np.uint64) << _U(48)) | (value >> _U(16))
     key ^= _U(1 << 63)  # so that signed numbers have the order of the bytes
     whole = hashed.parts(start, last + length)
-    return start, last, key, whole ^ _mixed((at - start).astype(np.uint64)), at != until
+    return start, last, at, key, whole ^ _mixed((at - start).astype(np.uint64)), at != until
 
 
 def _texts(column) -> tuple[np.ndarray, np.ndarray]:
@@ -163,46 +168,68 @@ def _entries(length: int, gram: int):
             found = []
             for k, n, begin, end in slices(ends, length):
                 own = np.minimum(ends[k : k + n], end) - begin
-                start, last, key, whole, tied = runs(data[begin:end], own, length, gram)
+                start, last, anchor, key, whole, tied = runs(data[begin:end], own, length, gram)
                 text = k + np.searchsorted(own, start, side="right")
                 base = np.where(text > 0, ends[text - 1], 0) if len(text) else text
-                found.append((key.view(np.int64), whole.view(np.int64), docs[text], start + begin - base, last - start, tied))
+                found.append((key.view(np.int64), whole.view(np.int64), docs[text], start + begin - base, last - start, anchor - start, tied))
             if found:
                 made = [np.concatenate(v) for v in zip(*found)]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made, kinds)], ["key", "whole", "doc", "start", "more", "tied"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
+                names = ["key", "whole", "doc", "start", "more", "lead", "tied"]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made, kinds)], names)
 
     return run
 
 
-ENTRY_SCHEMA = "key long, whole long, doc long, start int, more int, tied boolean"
+ENTRY_SCHEMA = "key long, whole long, doc long, start int, more int, lead int, tied boolean"
+PIECE_SCHEMA = "key long, core long, whole long, doc long, start int, more int, settled boolean"
+SPAN_SCHEMA = "doc long, starts array<int>, ends array<int>"
 
 
-WINDOW_SCHEMA = "key long, digest long, doc long, at int, settled boolean"
-SPAN_SCHEMA = "doc long, starts array<int>, ends array<int>"
+def cut(start: np.ndarray, more: np.ndarray, lead: np.ndarray, size: int):
+    """The pieces of runs: number of the run, first window, windows after it, and where its aligned piece begins.
+
+    Windows of offset o before the anchor, ``size * b <= o < size * (b + 1)``, are one piece.
+    """
+    high, low = lead // size, (lead - more) // size
+    n = high - low + 1
+    run = np.repeat(np.arange(len(start)), n)
+    block = np.repeat(high, n) - (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))
+    anchor = (start + lead)[run]
+    begin = np.maximum(start[run], anchor - size * block - size + 1)
+    last = np.minimum((start + more)[run], anchor - size * block)
+    return run, begin, last - begin, anchor - size * block - size + 1
 
 
-def _windows(length: int):
-    """All windows of the runs to open: the columns runs.key, start, more, settled beside each text."""
+def _pieces(length: int):
+    """Pieces, or windows where ``direct``, of the runs (key, core, start, more, lead, settled, direct) beside each text."""
 
-    def made(data, rows):
-        """rows: (doc, begin in data, first window, windows, key, settled)."""
+    def made(data, runs):
         import pyarrow as pa
 
-        digests = Hashed(data).every(length)
-        n = np.array([r[3] for r in rows])
-        first = np.repeat(np.cumsum(n) - n, n)
-        step = np.arange(int(n.sum())) - first
-        digest = digests[np.repeat(np.array([r[1] for r in rows]), n) + step]
-        at = np.repeat(np.array([r[2] for r in rows]), n) + step
-        columns = [
-            pa.array(np.repeat(np.array([r[4] for r in rows], np.int64), n), pa.int64()),
-            pa.array(digest.view(np.int64), pa.int64()),
-            pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), n), pa.int64()),
-            pa.array(at, pa.int32()),
-            pa.array(np.repeat(np.array([r[5] for r in rows], bool), n), pa.bool_()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["key", "digest", "doc", "at", "settled"])
+        #: at: where the run's first byte stands in ``data``.
+        key, core, doc, start, more, lead, settled, direct, at = (np.array(v) for v in zip(*runs))
+        hashed = Hashed(data)
+        one = np.where(direct, 1, PIECE)
+        found = []
+        for size in (1, PIECE):
+            own = np.flatnonzero(one == size)
+            if not len(own):
+                continue
+            run, begin, after, piece = cut(start[own], more[own], lead[own], size)
+            run = own[run]
+            shift = at[run] - start[run]
+            whole = hashed.parts(begin + shift, begin + after + length + shift)
+            if size > 1:
+                shared = hashed.parts(piece + size - 1 + shift, piece + length + shift)
+                shared ^= _mixed((start[run] + lead[run] - piece).astype(np.uint64))
+            else:
+                shared = whole ^ core[run].astype(np.int64).view(np.uint64)
+            found.append((key[run], shared.view(np.int64), whole.view(np.int64), doc[run], begin, after, settled[run]))
+        columns = [np.concatenate(v) for v in zip(*found)]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+        names = ["key", "core", "whole", "doc", "start", "more", "settled"]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names)
 
     def run(batches):
         for batch in batches:
@@ -212,10 +239,11 @@ def _windows(length: int):
                 base = int(ends[k - 1]) if k else 0
                 for own in opened:
                     begin, left = own["start"], own["more"] + 1
-                    while left > 0:
+                    while left > 0:  # only a run that is opened into windows may be longer than a slice
                         n = min(left, SLICE)
                         pieces.append(data[base + begin : base + begin + n + length - 1])
-                        rows.append((doc, size, begin, n, own["key"], own["settled"]))
+                        lead = own["lead"] - (begin - own["start"])
+                        rows.append((own["key"], own["core"], doc, begin, n - 1, lead, own["settled"], own["direct"], size))
                         size, begin, left = size + n + length - 1, begin + n, left - n
                         if size >= SLICE:
                             yield made(np.concatenate(pieces), rows)
@@ -249,8 +277,8 @@ class SuffixFamily:
     """A family of suffix arrays over batches of documents (doc, text), each level a stored table."""
 
     def __init__(self, spark: SparkSession, length: int = LENGTH, gram: int = GRAM):
-        if not 2 <= gram < length:
-            raise ValueError("a gram has two bytes or more and is shorter than a window")
+        if not 2 <= gram < length or length <= PIECE:
+            raise ValueError(f"a gram has two bytes or more and is shorter than a window, which has over {PIECE}")
         self.spark, self.length, self.gram = spark, length, gram
         self.matches = Rounds(spark, "key long")
         #: Folders of the runs of each batch.
@@ -289,28 +317,57 @@ class SuffixFamily:
         entries = self.spark.read.schema(ENTRY_SCHEMA).parquet(*self.folders)
         return entries.join(cut_lineage(self.matches.all().distinct()), "key", "left_semi")
 
-    def repeated(self, docs: DataFrame) -> DataFrame:
-        """doc, starts, ends: the bytes that repeated windows span, merged; ``docs`` are all documents added."""
+    def _opened(self, docs: DataFrame, runs: DataFrame) -> DataFrame:
+        """The pieces of the given runs, from the texts of their documents."""
+        runs = cut_lineage(runs)
+        by_text = runs.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in runs.columns if c != "doc"])).alias("runs"))
+        texts = docs.join(F.broadcast(by_text) if runs.count() <= SENT else by_text, "doc").select("doc", "text", "runs")
+        return cut_lineage(texts.mapInArrow(_pieces(self.length), PIECE_SCHEMA))
+
+    def drop(self) -> None:
+        """Give back the space of the runs and levels."""
+        for folder in [*self.folders, *(folder for _, _, folder in self.levels)]:
+            remove(self.spark, folder)
+        self.folders, self.levels = [], []
+
+    def repeated(self, docs: DataFrame, last: bool = False) -> DataFrame:
+        """doc, starts, ends: the bytes that repeated windows span, merged; ``docs`` are all documents added.
+
+        After the ``last`` call the family holds nothing any more.
+        """
+        one = F.min(F.struct("doc", "start", "more", "lead")).alias("one")
         found = cut_lineage(self.runs())
-        kinds = found.groupBy("key", "whole").agg(
-            F.count("*").alias("n"), F.max("tied").alias("tied"), F.min(F.struct("doc", "start", "more")).alias("one")
-        )
-        kinds = cut_lineage(kinds)
-        unlike = kinds.groupBy("key").count().where("count > 1").select("key")
-        opened = kinds.where("tied").union(kinds.where("NOT tied").join(unlike, "key", "left_semi"))
-        opened = cut_lineage(opened.select("one.*", "key", (F.col("n") > 1).alias("settled")))
-        by_text = opened.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "more", "settled")).alias("runs"))
-        texts = docs.join(F.broadcast(by_text) if opened.count() <= SENT else by_text, "doc").select("doc", "text", "runs")
-        windows = cut_lineage(texts.mapInArrow(_windows(self.length), WINDOW_SCHEMA))
-        twice = windows.groupBy("key", "digest").count().where("count > 1").select("key", "digest")
-        single = windows.where("NOT settled").join(twice, ["key", "digest"], "left_semi")
-        alike = kinds.where("n > 1").select("key", "whole")
-        covered = found.join(alike, ["key", "whole"], "left_semi")
-        end = (F.col("start") + F.col("more") + self.length).alias("end")
-        spans = covered.select("doc", "start", end).union(single.select("doc", "at", F.col("at") + self.length)).distinct()
+        if last:
+            self.drop()
+        kinds = cut_lineage(found.groupBy("key", "whole").agg(F.count("*").alias("n"), F.max("tied").alias("tied"), one))
+        unlike = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.max("tied").alias("direct")).where("kinds > 1 OR direct")
+        opened = kinds.join(unlike.select("key", "direct"), "key")
+        opened = opened.select("one.*", "key", F.lit(0).cast("long").alias("core"), (F.col("n") > 1).alias("settled"), "direct")
+        covered = [_alike(found, kinds, ["key", "whole"], self.length)]
+        pieces = self._opened(docs, opened)
+
+        one = F.min(F.struct("doc", "start", "more")).alias("one")
+        parts = ["key", "core", "whole"]
+        kinds = cut_lineage(pieces.groupBy(*parts).agg(F.count("*").alias("n"), F.max("settled").alias("settled"), one))
+        unlike = kinds.groupBy("key", "core").count().where("count > 1").select("key", "core")
+        opened = kinds.join(unlike, ["key", "core"], "left_semi")
+        settled = (F.col("settled") | (F.col("n") > 1)).alias("settled")
+        opened = opened.select("one.*", F.col("one.more").alias("lead"), "key", "core", settled, F.lit(True).alias("direct"))
+        covered.append(_alike(pieces.where("NOT settled"), kinds, parts, self.length))
+        windows = self._opened(docs, opened)
+
+        kinds = windows.groupBy(*parts).agg(F.count("*").alias("n"))
+        covered.append(_alike(windows.where("NOT settled"), kinds, parts, self.length))
+        spans = covered[0].union(covered[1]).union(covered[2]).distinct()
         return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(_merged, SPAN_SCHEMA)
 
 
+def _alike(rows: DataFrame, kinds: DataFrame, key: list[str], length: int) -> DataFrame:
+    """doc, start, end of the rows whose kind occurs twice."""
+    found = rows.join(kinds.where("n > 1").select(*key), key, "left_semi")
+    return found.select("doc", "start", (F.col("start") + F.col("more") + length).alias("end"))
+
+
 def _kept(batches):
     import pyarrow as pa
 
@@ -343,7 +400,7 @@ def remove_repeats(
     family = SuffixFamily(docs.sparkSession, length, gram)
     for k in range(batches):
         family.add(rows.where(F.pmod("doc", F.lit(batches)) == k).select("doc", "text"))
-    spans = cut_lineage(family.repeated(rows.select("doc", "text")))
+    spans = cut_lineage(family.repeated(rows.select("doc", "text"), last=True))
     n = spans.agg(F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()[0]
     joined = rows.join(F.broadcast(spans) if n <= SENT else spans, "doc", "left").select("id", "text", "starts", "ends")
     kind = rows.schema["id"].dataType.simpleString()
