@@ -130,15 +130,37 @@ def test_slugs(spark):
 
 
 def test_publish_goes_on_after_a_failure(spark, tables, tmp_path):
-    formulas = {"good": "SUM([Price])", "bad": "NO_SUCH_FUNCTION([Price])", "skipped": "INDEX()"}
-    table_of = lambda v: v.split(".")[-1] + "_published"
-    status = publish(
-        plan_formulas(spark, formulas, tables), tables, table_of, path_of=lambda v: str(tmp_path / table_of(v))
-    )
-    got = {r.view_name.split("_", 1)[1]: (r.status, r.error) for r in status.collect()}
-    assert got["good"] == ("created", None) and got["bad"][0] == "failed" and got["skipped"][0] == "skipped"
-    assert spark.table("mv_good_published").first()[0] == 66.0
-    spark.sql("DROP TABLE mv_good_published")
+    formulas = {"good": "SUM([Price])", "same": "SUM([Price])", "bad": "NO_SUCH_FUNCTION([Price])", "skipped": "INDEX()",
+                "size": 'IF [Qty] > 0 THEN "big" ELSE "small" END', "text": 'INT("x" + STR([Qty]))', "lists": "COLLECT_SET([Qty])"}
+    views = plan_formulas(spark, formulas, tables)
+    for per_job in (1, 128):
+        done = publish(views, tables, str(tmp_path / str(per_job)), per_job=per_job)
+        got = {r.view_name.split("_", 1)[1]: (r.status, r.error) for r in done.statuses(views).collect()}
+        assert got["good"] == got["same"] == got["size"] == got["lists"] == ("created", None)
+        assert {got[n][0] for n in ("bad", "text")} <= {"failed", "created"} and got["bad"][0] == "failed" and got["bad"][1]
+        assert got["skipped"][0] == "skipped" and "table calculation" in got["skipped"][1]
+        values = {(r.view_name.split("_", 1)[1], r.member): r.value for r in done.results(views).collect()}
+        assert values["good", None] == values["same", None] == "66.0" and values["lists", None].startswith("[")
+        assert done.values().where("kind = 'measure'").select("definition").distinct().count() == 2  # equal views are one definition
+        few = done.results(views, most_members=1).where("view_name LIKE '%size'").collect()
+        assert [(r.dims, r.member, r.value) for r in few] == [(None, None, "12")]
+    asked = publish(views, tables, str(tmp_path / "all"), skip_unsupported=False)
+    got = {r.view_name.split("_", 1)[1]: r.status for r in asked.statuses(views, skip_unsupported=False).collect()}
+    assert got["skipped"] == "skipped"  # there is no text to run at all
+
+
+def test_publish_by_columns(spark, tables, tmp_path):
+    views = plan_formulas(spark, {"good": "SUM([Price])", "size": "[Qty] > 2"}, tables)
+    done = publish(views, tables, str(tmp_path / "x"), lambda base: ["order_id"])
+    rows = done.results(views).collect()
+    assert sum(float(r.value) for r in rows if r.kind == "measure") == 66.0
+    assert {tuple(r.dims) for r in rows} == {("order_id",)} and len({r.dims["order_id"] for r in rows}) > 1
+
+
+def test_publish_nothing(spark, tables, tmp_path):
+    views = plan_formulas(spark, {"skipped": "INDEX()"}, tables)
+    done = publish(views, tables, str(tmp_path / "x"))
+    assert [r.status for r in done.statuses(views).collect()] == ["skipped"] and done.values().isEmpty()
 
 
 def test_sql_functions(spark):

@@ -170,26 +170,32 @@ def publish_dry_run(spark, sf):
     )
 
 
-PUBLISHED = {
-    "Unit Price": "SUM([Extended Price]) / SUM([Quantity])",
-    "Priority Sales": "SUM(IIF([Order Priority] = \"1-URGENT\", [Extended Price], 0))",
-    "Big": "IF [Quantity] > 10 THEN \"big\" ELSE \"small\" END",
-    "Broken": "NO_SUCH_FUNCTION([Tax])",
-    "Total": "RUNNING_SUM(SUM([Tax]))",
-}
+MOST_MEMBERS = 9
+_PUBLICATIONS: dict[tuple, pub.Publication] = {}
 
 
-def publish_live(spark, sf):
-    from vizquarry.plans.metric_view import plan_formulas
+def _publication(spark, sf):
+    """All views of the estate, evaluated by return flag, once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PUBLICATIONS:
+        path = os.path.join(scratch_dir(spark), f"published-{uuid.uuid4().hex}")
+        _PUBLICATIONS[key] = pub.publish(stored_views(spark, sf), fx.tables(spark, sf), path, lambda base: ["return_flag"])
+    return _PUBLICATIONS[key]
 
-    found = fx.tables(spark, sf)
-    run = uuid.uuid4().hex
-    table_of = lambda view: f"{view.split('.')[-1]}_{run}"
-    views = plan_formulas(spark, PUBLISHED, found)
-    status = pub.publish(
-        views, found, table_of, path_of=lambda view: os.path.join(scratch_dir(spark), table_of(view))
+
+def publish_live(spark, sf):
+    status = _publication(spark, sf).statuses(stored_views(spark, sf))
+    return status.select(
+        "workbook_id", "view_name", "status",
+        F.when(F.col("status") == "skipped", F.regexp_extract("error", "unsupported: (.*)$", 1)).otherwise("").alias("refused"),
+        F.coalesce(F.length("error") > 0, F.lit(False)).alias("has_error"),
     )
-    return status.select("view_name", "status", F.coalesce(F.length("error") > 0, F.lit(False)).alias("has_error"))
+
+
+def publish_values(spark, sf):
+    rows = _publication(spark, sf).results(stored_views(spark, sf), MOST_MEMBERS)
+    value = F.round(F.col("value").cast("double"), 2)
+    return rows.select("workbook_id", "view_name", F.col("dims")["return_flag"].alias("return_flag"), "member", value.alias("value"))
 
 
 # ---- evaluated views -------------------------------------------------------------------------------------
@@ -296,7 +302,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         column_match, column_match_tagged, choose_base_table, infer_joins, column_map, translate_corpus,
-        classify_kind, build_views, calc_status, definition_text, view_slugs, publish_dry_run, publish_live,
+        classify_kind, build_views, calc_status, definition_text, view_slugs, publish_dry_run, publish_live, publish_values,
         mv_measure, mv_dimension, mv_source_fields, mv_join_measure, mv_star_join, join_key_check,
         sql_udf_translate, note_string_plus, note_caret,
     )
@@ -322,6 +328,11 @@ _MAPPED = _EXPR.format(ep="extended_price", d="discount", q="quantity", o="order
                        div="SUM(extended_price) / SUM(quantity)")
 _QUOTED = _EXPR.format(ep="`Extended Price`", d="Discount", q="Quantity", o="`Order Id`", s="`Ship Date`",
                        div="SUM(`Extended Price`) / SUM(Quantity)")
+# What a chain of calculations is made of. Sums of sums and sums of numbers can be evaluated, and any single one.
+_STATES = """(SELECT c.*, 'sales_lines.mv_' || c.slug AS view_name, t.templates, t.n_chain FROM calc_states c JOIN
+    (SELECT workbook_id, start_ord, list_sort(list_distinct(list(template))) AS templates, count(*) AS n_chain
+     FROM calc_chain GROUP BY workbook_id, start_ord) t ON t.workbook_id = c.workbook_id AND t.start_ord = c.calc_ord)"""
+_CREATED = "(status = 'ok' AND (list_has_all([0, 6, 9], templates) OR templates = [1] OR n_chain = 1))"
 _JOINED = "sales_lines l LEFT JOIN sales_orders o ON o.order_id = l.order_id"
 
 CHECKS = {
@@ -365,6 +376,23 @@ CHECKS = {
     "publish_dry_run": """SELECT workbook_id, 'sales_lines.mv_' || slug AS view_name,
         CASE status WHEN 'unsupported' THEN 'skipped' ELSE 'dry_run' END AS status, coalesce(label, '') AS refused
         FROM calc_states""",
+    "publish_live": f"""SELECT workbook_id, view_name,
+        CASE WHEN status = 'unsupported' THEN 'skipped' WHEN {_CREATED} THEN 'created' ELSE 'failed' END AS status,
+        coalesce(label, '') AS refused, status = 'unsupported' OR NOT {_CREATED} AS has_error FROM {_STATES}""",
+    "publish_values": f"""SELECT workbook_id, view_name, return_flag, NULL::VARCHAR AS member, round(sum(value), 2) AS value FROM
+        (SELECT s.workbook_id, s.view_name, v.return_flag, CASE c.template WHEN 0 THEN v.total
+          WHEN 6 THEN v.n_orders ELSE v.ratio END AS value
+          FROM {_STATES} s JOIN calc_chain c ON c.workbook_id = s.workbook_id AND c.start_ord = s.calc_ord
+          CROSS JOIN (SELECT return_flag, sum(extended_price) AS total, count(DISTINCT order_id)::DOUBLE AS n_orders,
+            sum(extended_price) / sum(quantity) AS ratio FROM sales_lines GROUP BY return_flag) v
+          WHERE {_CREATED} AND s.kind = 'measure') GROUP BY ALL
+        UNION ALL SELECT s.workbook_id, s.view_name, v.return_flag, v.member, v.n FROM {_STATES} s,
+          (SELECT return_flag, CASE WHEN quantity > 10 THEN 'big' WHEN quantity > 5 THEN 'mid' ELSE 'small' END AS member,
+            count(*)::DOUBLE AS n FROM sales_lines GROUP BY 1, 2) v
+          WHERE {_CREATED} AND s.templates = [5]
+        UNION ALL SELECT s.workbook_id, s.view_name, NULL, NULL, v.n FROM {_STATES} s,
+          (SELECT count(*)::DOUBLE AS n FROM sales_lines) v
+          WHERE {_CREATED} AND s.kind = 'dimension' AND s.templates <> [5]""",
     "mv_measure": """SELECT return_flag, round(sum(extended_price) / sum(quantity), 6) AS unit_price
         FROM sales_lines GROUP BY return_flag""",
     "mv_dimension": """SELECT CASE WHEN quantity > 40 THEN 'big' WHEN quantity > 20 THEN 'mid' ELSE 'small' END
