@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from vizquarry.operators import elements as el, inline, metrics, score
+from vizquarry.operators import elements as el, graphs, inline, metrics, score
 from vizquarry.operators.depth import nesting_depth
 from vizquarry.sources import archives, shred, sinks
 
@@ -287,3 +287,46 @@ def test_append_adds_columns_and_keeps_types(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.write_table(first, name, "merge")
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_depth_of_a_very_long_chain_and_a_dense_cycle(spark):
+    """500 fields in a row take nine rounds; twelve fields that all refer to each other are searched alone."""
+    rows = [(1, f"c{i}", f"[c{i + 1}]", i) for i in range(499)] + [(1, "c499", "1", 499)]
+    ring = [f"r{i}" for i in range(12)]
+    rows += [(2, r, " + ".join(f"[{x}]" for x in ring if x != r) + (" + [tail]" if r == "r5" else ""), i) for i, r in enumerate(ring)]
+    rows += [(2, f"t{i}", f"[t{i + 1}]", 100 + i) for i in range(40)] + [(2, "t40", "[r3] + [r4]", 200)]
+    rows += [(2, "tail", "[end]", 201), (2, "end", "1", 202), (2, "aside", "[r0]", 203)]
+    rows += [(3, "x", "[y]", 0), (3, "y", "[x] + [p]", 1), (3, "p", "[q] + [z]", 2), (3, "q", "[p]", 3), (3, "z", "1", 4)]
+    df = spark.createDataFrame(rows, "workbook_id int, calc_name string, formula string, ord int")
+    got = {r.workbook_id: r.max_calc_nesting_depth for r in nesting_depth(df).collect()}
+    assert got == {1: 500, 2: 41 + 12 + 2, 3: 4}
+
+
+def test_longest_paths_of_every_node(spark):
+    rng = random.Random(11)
+    edges, want = [], {}
+
+    def longest(adjacent, node, seen):
+        return 1 + max((longest(adjacent, x, seen | {x}) for x in adjacent[node] - seen), default=0)
+
+    for g in range(50):
+        nodes = [f"n{i}" for i in range(rng.randint(2, 8))]
+        own = {(rng.choice(nodes), rng.choice(nodes)) for _ in range(rng.randint(1, 14))}
+        own = {(a, b) for a, b in own if a != b}
+        adjacent = {n: {b for a, b in own if a == n} for e in own for n in e}
+        want.update({(g, n): longest(adjacent, n, {n}) for n in adjacent})
+        edges += [(g, a, b) for a, b in own] * 2
+    df = spark.createDataFrame(edges, "g int, src string, dst string")
+    assert {(r.g, r.src): r.value for r in graphs.longest_paths(df, ["g"]).collect()} == want
+    assert graphs.longest_paths(df.where("g < 0"), ["g"]).isEmpty()
+
+
+def test_shared_definitions_are_expanded_once(spark):
+    """A chain of 40 whose every field is used twice by the one above would be 2^40 rows path by path; here 12 are."""
+    n = 12
+    rows = [record(1, i, f"c{i}", f"Name {i}", f"[c{i + 1}]-[Name {i + 1}]" if i < n else "x") for i in range(n + 1)]
+    rows += [record(2, 0, "a", "A", "[b] + [q]"), record(2, 1, "b", "B", "[a] + [q]"), record(2, 2, "q", "Q", "[r] * [R]"), record(2, 3, "r", "R", "1")]
+    rows += [record(3, 0, "a", "Same", "[b]"), record(3, 1, "b", "Same", "[a] + [Same]"), record(3, 2, "c", "C", "[Same]")]
+    got = inline.inline_references(spark.createDataFrame(rows, RECORDS)).collect()
+    assert {(r.workbook_id, r.calc_ord): r.formula_inlined for r in got} == brute_inline(rows)
+    assert {len(r.formula_inlined) for r in got if r.workbook_id == 1 and r.calc_ord == 0} == {5 * (2**n - 1) + 1}

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vizquarry.functions.formulas import raw_refs
-from vizquarry.session import Rounds, cut_lineage
-
-NODE = ["workbook_id", "src"]
+from vizquarry.operators.graphs import longest_paths
 
 
 def reference_edges(calcs: DataFrame) -> DataFrame:
@@ -22,79 +20,13 @@ def reference_edges(calcs: DataFrame) -> DataFrame:
 def nesting_depth(calcs: DataFrame) -> DataFrame:
     """(workbook_id, max_calc_nesting_depth) for every workbook with a calculated field.
 
-    All workbooks go through the same rounds of joins on (workbook, field), in which no task ever holds a
-    whole workbook.
+    All workbooks go through the same rounds, log2(depth) of them where there is no cycle. Fields that reach a cycle
+    are searched path by path inside their component only.
     """
-    edges = cut_lineage(reference_edges(calcs))
     alone = calcs.select("workbook_id", F.lit(1).alias("depth"))
+    deep = longest_paths(reference_edges(calcs), ["workbook_id"]).select("workbook_id", F.col("value").alias("depth"))
     return (
-        alone.unionByName(_depths(edges))
+        alone.unionByName(deep)
         .groupBy("workbook_id")
         .agg(F.max("depth").cast("int").alias("max_calc_nesting_depth"))
     )
-
-
-def _depths(edges: DataFrame) -> DataFrame:
-    """Frame of (workbook_id, depth) whose maximum per workbook is the answer.
-
-    Phase one peels: a field whose references are all gone has the number of the round as its depth,
-    and the edges into it leave. The edge set shrinks each round and there are as many rounds as the
-    deepest acyclic chain. What stays is the core of fields that reach a cycle; phase two walks it.
-    """
-    live_count, turn = edges.count(), 0
-    peeled_edges = Rounds(edges.sparkSession, "workbook_id " + edges.schema["workbook_id"].dataType.simpleString() + ", src string, gone int")
-    while live_count:
-        # An edge stays while its target still has references of its own.
-        busy = edges.select("workbook_id", F.col("src").alias("dst"), F.lit(True).alias("busy")).distinct()
-        marked = cut_lineage(
-            edges.join(busy, ["workbook_id", "dst"], "left").select(
-                "workbook_id", "src", "dst", F.coalesce("busy", F.lit(False)).alias("busy")
-            )
-        )
-        turn += 1
-        peeled_edges.add(marked.where(~F.col("busy")).select("workbook_id", "src", F.lit(turn).alias("gone")))
-        edges = marked.where(F.col("busy")).drop("busy")
-        count = edges.count()
-        if count == live_count:
-            break
-        live_count = count
-
-    # tail: depth of the deepest peeled field a field refers to.
-    tails = peeled_edges.all().groupBy(*NODE).agg(F.max("gone").alias("tail"))
-    own = (F.col("tail") + 1).alias("depth")
-    if not live_count:
-        return tails.select("workbook_id", own)
-    core = edges.select(*NODE).distinct()
-    peeled = tails.join(core, NODE, "left_anti").select("workbook_id", own)
-    return peeled.unionByName(_core_paths(edges, core.join(tails, NODE, "left")))
-
-
-def _core_paths(edges: DataFrame, core: DataFrame) -> DataFrame:
-    """Path lengths through the core: (workbook_id, depth).
-
-    A path grows by one field a round. Paths that visited the same fields and ended at the same one have
-    the same future, so one of them goes on. The tail below the last field is known from phase one.
-    """
-    core = cut_lineage(core.select("workbook_id", "src", F.coalesce("tail", F.lit(0)).alias("tail")))
-    paths = core.select("workbook_id", F.col("src").alias("last"), F.array("src").alias("seen"), "tail")
-    key = core.schema["workbook_id"].dataType.simpleString()
-    ends, length = Rounds(core.sparkSession, f"workbook_id {key}, depth int"), 1
-    while True:
-        ends.add(paths.groupBy("workbook_id").agg((F.max("tail") + length).alias("depth")))
-        steps = edges.select("workbook_id", F.col("src").alias("last"), F.col("dst").alias("next"))
-        grown = (
-            paths.drop("tail")
-            .join(steps, ["workbook_id", "last"])
-            .where(~F.array_contains("seen", F.col("next")))
-            .select(
-                "workbook_id",
-                F.col("next").alias("last"),
-                F.array_sort(F.array_append("seen", F.col("next"))).alias("seen"),
-            )
-            .distinct()
-            .join(core.withColumnRenamed("src", "last"), ["workbook_id", "last"])
-        )
-        paths = cut_lineage(grown)
-        length += 1
-        if paths.isEmpty():
-            return ends.all()
