@@ -31,6 +31,7 @@ table gives an empty result; other columns are not read; texts are processed who
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -44,7 +45,7 @@ PIECE = 16
 SLICE = 1 << 16
 #: Batches that the query deals its table into.
 BATCHES = 3
-#: Runs or spans, of 40 bytes at most, that may be sent to the executors.
+#: Runs or spans, of 30 bytes at most, that may be sent to the executors.
 SENT = 1_000_000
 
 _U = np.uint64
@@ -182,7 +183,7 @@ def _entries(length: int, gram: int):
 
 
 ENTRY_SCHEMA = "key long, whole long, doc long, start int, more int, lead int, tied boolean"
-PIECE_SCHEMA = "key long, core long, whole long, doc long, start int, more int, settled boolean"
+PIECE_SCHEMA = "key long, core long, whole long, doc long, start int, more int, settled boolean, sure boolean"
 SPAN_SCHEMA = "doc long, starts array<int>, ends array<int>"
 
 
@@ -201,19 +202,40 @@ def cut(start: np.ndarray, more: np.ndarray, lead: np.ndarray, size: int):
     return run, begin, last - begin, anchor - size * block - size + 1
 
 
+def _distinct(run: np.ndarray, begin: np.ndarray, digest: np.ndarray):
+    """Places of the first window of each digest in a run, how often it occurs, and (run, first, more) of repeated windows."""
+    order = np.lexsort((begin, digest, run))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (run[order][1:] != run[order][:-1]) | (digest[order][1:] != digest[order][:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.r_[first, len(order)])
+    again = np.zeros(len(order), dtype=bool)
+    again[order[np.repeat(times > 1, times)]] = True
+    at = np.flatnonzero(again)  # windows of a run follow each other, downwards or upwards
+    r, w = run[at], begin[at]
+    up = np.lexsort((w, r))
+    r, w = r[up], w[up]
+    head = np.ones(len(w), dtype=bool)
+    head[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1] + 1)
+    start = np.flatnonzero(head)
+    return order[first], times, (r[start], w[start], np.diff(np.r_[start, len(w)]) - 1)
+
+
 def _pieces(length: int):
-    """Pieces, or windows where ``direct``, of the runs (key, core, start, more, lead, settled, direct) beside each text."""
+    """Pieces, or windows where ``direct``, of the runs (key, core, start, more, lead, settled, direct) beside each text.
+
+    Of the windows of a run that are alike, which is what makes a text that goes in circles, the first goes on; all that are repeated
+    there are ``sure`` to be removed.
+    """
+    names = [name.split()[0] for name in PIECE_SCHEMA.split(", ")]
 
-    def made(data, runs):
+    def made(data, at, doc, key, core, start, more, lead, settled, direct):
+        """``at``: where the first byte of each run stands in ``data``."""
         import pyarrow as pa
 
-        #: at: where the run's first byte stands in ``data``.
-        key, core, doc, start, more, lead, settled, direct, at = (np.array(v) for v in zip(*runs))
         hashed = Hashed(data)
-        one = np.where(direct, 1, PIECE)
         found = []
-        for size in (1, PIECE):
-            own = np.flatnonzero(one == size)
+        for size, own in ((1, np.flatnonzero(direct)), (PIECE, np.flatnonzero(~direct))):
             if not len(own):
                 continue
             run, begin, after, piece = cut(start[own], more[own], lead[own], size)
@@ -223,33 +245,42 @@ def _pieces(length: int):
             if size > 1:
                 shared = hashed.parts(piece + size - 1 + shift, piece + length + shift)
                 shared ^= _mixed((start[run] + lead[run] - piece).astype(np.uint64))
-            else:
-                shared = whole ^ core[run].astype(np.int64).view(np.uint64)
-            found.append((key[run], shared.view(np.int64), whole.view(np.int64), doc[run], begin, after, settled[run]))
+                found.append((key[run], shared.view(np.int64), whole.view(np.int64), doc[run], begin, after, settled[run], np.zeros(len(run), bool)))
+                continue
+            one, times, (r, w, n) = _distinct(run, begin, whole)
+            none = np.zeros(len(r), np.int64)
+            found.append((key[r], none, none, doc[r], w, n, np.ones(len(r), bool), np.ones(len(r), bool)))
+            run, begin, whole = run[one], begin[one], whole[one]
+            shared = (whole ^ core[run].view(np.uint64)).view(np.int64)
+            none = np.zeros(len(run), np.int64)
+            found.append((key[run], shared, whole.view(np.int64), doc[run], begin, none, settled[run] | (times > 1), none.astype(bool)))
         columns = [np.concatenate(v) for v in zip(*found)]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
-        names = ["key", "core", "whole", "doc", "start", "more", "settled"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names)
 
     def run(batches):
         for batch in batches:
-            pieces, rows, size = [], [], 0
             data, ends = _texts(batch.column("text"))
-            for k, (doc, opened) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("runs").to_pylist())):
-                base = int(ends[k - 1]) if k else 0
-                for own in opened:
-                    begin, left = own["start"], own["more"] + 1
-                    while left > 0:  # only a run that is opened into windows may be longer than a slice
-                        n = min(left, SLICE)
-                        pieces.append(data[base + begin : base + begin + n + length - 1])
-                        lead = own["lead"] - (begin - own["start"])
-                        rows.append((own["key"], own["core"], doc, begin, n - 1, lead, own["settled"], own["direct"], size))
-                        size, begin, left = size + n + length - 1, begin + n, left - n
-                        if size >= SLICE:
-                            yield made(np.concatenate(pieces), rows)
-                            pieces, rows, size = [], [], 0
-            if rows:
-                yield made(np.concatenate(pieces), rows)
+            counts = np.diff(np.asarray(batch.column("start").offsets).astype(np.int64))
+            flat = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("key", "core", "start", "more", "lead", "settled", "direct")]
+            key, core, start, more, lead, settled, direct = flat
+            start, more, lead = (v.astype(np.int64) for v in (start, more, lead))
+            text = np.repeat(np.arange(len(counts)), counts)
+            # Only a run that is opened into windows may be longer than a slice; it goes on in parts.
+            parts = -(-(more + 1) // SLICE)
+            own = np.repeat(np.arange(len(start)), parts)
+            skip = (np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)) * SLICE
+            start, lead, left = start[own] + skip, lead[own] - skip, more[own] - skip
+            more, key, core, settled, direct, text = np.minimum(left, SLICE - 1), key[own], core[own], settled[own], direct[own], text[own]
+            docs = batch.column("doc").to_numpy()[text]
+            begin = start + np.r_[0, ends][text]
+            size = more + length
+            group = np.cumsum(size) // SLICE
+            for g in np.unique(group):
+                k = slice(*np.searchsorted(group, (g, g + 1)))
+                bytes_ = np.concatenate([data[a : a + n] for a, n in zip(begin[k].tolist(), size[k].tolist())])
+                at = np.cumsum(size[k]) - size[k]
+                yield made(bytes_, at, docs[k], key[k], core[k], start[k], more[k], lead[k], settled[k], direct[k])
 
     return run
 
@@ -320,8 +351,10 @@ class SuffixFamily:
     def _opened(self, docs: DataFrame, runs: DataFrame) -> DataFrame:
         """The pieces of the given runs, from the texts of their documents."""
         runs = cut_lineage(runs)
-        by_text = runs.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in runs.columns if c != "doc"])).alias("runs"))
-        texts = docs.join(F.broadcast(by_text) if runs.count() <= SENT else by_text, "doc").select("doc", "text", "runs")
+        names = [c for c in runs.columns if c != "doc"]
+        by_text = runs.groupBy("doc").agg(F.collect_list(F.struct(*names)).alias("runs"))
+        by_text = by_text.select("doc", *[F.col(f"runs.{c}").alias(c) for c in names])
+        texts = docs.join(F.broadcast(by_text) if runs.count() <= SENT else by_text, "doc").select("doc", "text", *names)
         return cut_lineage(texts.mapInArrow(_pieces(self.length), PIECE_SCHEMA))
 
     def drop(self) -> None:
@@ -348,7 +381,7 @@ class SuffixFamily:
 
         one = F.min(F.struct("doc", "start", "more")).alias("one")
         parts = ["key", "core", "whole"]
-        kinds = cut_lineage(pieces.groupBy(*parts).agg(F.count("*").alias("n"), F.max("settled").alias("settled"), one))
+        kinds = cut_lineage(pieces.where("NOT sure").groupBy(*parts).agg(F.count("*").alias("n"), F.max("settled").alias("settled"), one))
         unlike = kinds.groupBy("key", "core").count().where("count > 1").select("key", "core")
         opened = kinds.join(unlike, ["key", "core"], "left_semi")
         settled = (F.col("settled") | (F.col("n") > 1)).alias("settled")
@@ -356,16 +389,20 @@ class SuffixFamily:
         covered.append(_alike(pieces.where("NOT settled"), kinds, parts, self.length))
         windows = self._opened(docs, opened)
 
-        kinds = windows.groupBy(*parts).agg(F.count("*").alias("n"))
+        kinds = windows.where("NOT sure").groupBy(*parts).agg(F.count("*").alias("n"))
         covered.append(_alike(windows.where("NOT settled"), kinds, parts, self.length))
-        spans = covered[0].union(covered[1]).union(covered[2]).distinct()
+        covered += [_spans(rows.where("sure"), self.length) for rows in (pieces, windows)]
+        spans = reduce(DataFrame.union, covered).distinct()
         return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(_merged, SPAN_SCHEMA)
 
 
 def _alike(rows: DataFrame, kinds: DataFrame, key: list[str], length: int) -> DataFrame:
     """doc, start, end of the rows whose kind occurs twice."""
-    found = rows.join(kinds.where("n > 1").select(*key), key, "left_semi")
-    return found.select("doc", "start", (F.col("start") + F.col("more") + length).alias("end"))
+    return _spans(rows.join(kinds.where("n > 1").select(*key), key, "left_semi"), length)
+
+
+def _spans(rows: DataFrame, length: int) -> DataFrame:
+    return rows.select("doc", "start", (F.col("start") + F.col("more") + length).alias("end"))
 
 
 def _kept(batches):
