@@ -22,6 +22,8 @@ from vizquarry.llm import samples
 BITS = 18
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 MEMO = 400_000
+#: Bytes of bins that the fit takes, in the order of their digests.
+LEARN_BYTES = 256 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: The bigram of a token with itself, whichever it is.
 _SAME = np.uint64(0xD6E8FEB86659FD93)
@@ -106,15 +108,20 @@ def _hashed(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, text: str, label: str, per_label: int = 3000) -> np.ndarray | None:
-    """Weights from about ``per_label`` rows of each label at most; their bins (1 MB a row at most) go to the driver."""
+    """Weights from about ``per_label`` rows of each label at most; their bins go to the driver, ``LEARN_BYTES`` of them at most."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")
     )
     known = samples.bounded_sample(known.where(learn), "label", "id", per_label)
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")).join(known, "id")
-    found = rows.select("text", "label").mapInArrow(_hashed, "label int, bins binary").orderBy(F.xxhash64("bins"), "label").toArrow()
-    pairs = zip(found.column("bins"), found.column("label").to_pylist())
-    return fit([(np.frombuffer(b.as_py(), dtype=np.int32), y) for b, y in pairs])
+    rows = samples.sampled_texts(docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")), known)
+    found = rows.mapInArrow(_hashed, "label int, bins binary").orderBy(F.xxhash64("bins"), "label")
+    learned, size = [], 0
+    for label, bins in found.toLocalIterator():
+        size += len(bins)
+        if size > LEARN_BYTES:
+            break
+        learned.append((np.frombuffer(bins, dtype=np.int32), label))
+    return fit(learned)
 
 
 def _scored(weights: np.ndarray | None, limit: float):

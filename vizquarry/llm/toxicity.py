@@ -237,11 +237,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, tex
         F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")
     )
     known = samples.bounded_sample(known.where(learn), "label", "id", per_label)
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")).join(known, "id")
-    found = rows.select("text", "label").mapInArrow(_cut, "label int, windows array<binary>").toArrow()
+    rows = samples.sampled_texts(docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")), known)
+    found = rows.mapInArrow(_cut, "label int, windows array<binary>").toArrow()
     model = fit(sorted(zip(found.column("label").to_pylist(), found.column("windows").to_pylist())))
     if model is not None:  # on whole texts, as they are scored
-        found = rows.select("text", "label").mapInArrow(_evident(model), "evidence double, label int").toArrow()
+        found = rows.mapInArrow(_evident(model), "evidence double, label int").toArrow()
         calibrate(model, list(zip(found.column("evidence").to_pylist(), found.column("label").to_pylist())))
     return model
 
