@@ -2,7 +2,7 @@
 
 Byte-level BPE never merges across what its pre-tokenizer splits. A single space between two characters that are not
 white space always goes to what follows, a single line end between two such characters stands alone, and a letter is
-split from a full stop or comma after it. A text may therefore be cut there, each distinct piece be encoded once, and
+split from ASCII marks after it. A text may therefore be cut there, each distinct piece be encoded once, and
 the ids be joined again. Tests hold this against whole texts.
 """
 
@@ -19,6 +19,12 @@ import numpy as np
 #: only; that leaves cuts out and does no harm.
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 _OTHER = tuple("\t\v\f\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\x1c\x1d\x1e\x1f") + tuple(map(chr, range(0x2000, 0x200B)))
+#: Pieces that may be encoded together: no white space, and nothing that may begin a special string.
+_PLAIN = re.compile(r"[^\s<]+")
+#: Marks that are cut from the letter before them; an apostrophe may go with letters, the other may begin a special string.
+_MARKS = "".join(x for x in map(chr, range(33, 127)) if not x.isalnum() and x not in "'<")
+#: Pieces of one call, and how a byte-level vocabulary writes a space.
+TOGETHER, _SPACE = 50, "\u0120"
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 #: Distinct pieces a worker remembers (about 220 bytes each) before it starts afresh.
 MEMO = 800_000
@@ -53,7 +59,11 @@ class PieceEncoder:
         self.memo = memo
         #: Ids of pieces as the bytes of 32-bit integers.
         self.known: dict[str, bytes] = {}
-        self.ends = {x: self._encoded([x])[0] for x in (".", ",")}
+        #: Ids of runs of marks.
+        self.ends: dict[str, bytes] = {}
+        names = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        #: Whether an id begins with a space.
+        self.begins = np.array([x.startswith(_SPACE) for x in names], dtype=bool)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -62,13 +72,39 @@ class PieceEncoder:
             found.extend(array("I", x.ids).tobytes() for x in some)
         return found
 
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of plain pieces with a space before each; a piece's ids begin where an id begins with a space."""
+        found: list[bytes] = []
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        for some, raw in zip(groups, self._encoded([" " + " ".join(x) for x in groups])):
+            edges = np.flatnonzero(self.begins[np.frombuffer(raw, dtype=np.uint32)]) * 4
+            if len(edges) == len(some) and edges[0] == 0:
+                edges = [*edges.tolist(), len(raw)]
+                found.extend(raw[a:b] for a, b in zip(edges, edges[1:]))
+            else:  # a vocabulary of another kind
+                found.extend(self._encoded([" " + x for x in some]))
+        return found
+
     def _learn(self, missing: set[str]) -> None:
         if len(self.known) + len(missing) > self.memo:
             self.known.clear()
-        ended = [x for x in missing if x[-1:] in self.ends and x[-2:-1].isalpha()]
-        plain = list(missing.difference(ended).union(x[:-1] for x in ended).difference(self.known))
-        self.known.update(zip(plain, self._encoded([x if x[:1] == "\n" else " " + x for x in plain])))
-        self.known.update((x, self.known[x[:-1]] + self.ends[x[-1]]) for x in ended)
+        ended = {}
+        for x in missing:
+            stem = x.rstrip(_MARKS)
+            if len(stem) < len(x) and stem[-1:].isalpha() and "<" not in x:
+                ended[x] = stem
+        plain = list(missing.difference(ended).union(ended.values()).difference(self.known))
+        tails = list({x[len(stem) :] for x, stem in ended.items()}.difference(self.ends))
+        if tails:
+            if len(self.ends) + len(tails) > self.memo:
+                self.ends.clear()
+                tails = list({x[len(stem) :] for x, stem in ended.items()})
+            self.ends.update(zip(tails, self._encoded(tails)))
+        words = list(filter(_PLAIN.fullmatch, plain))
+        self.known.update(zip(words, self._spaced(words)))
+        other = [x for x in plain if x not in self.known]
+        self.known.update(zip(other, self._encoded([x if x[:1] == "\n" else " " + x for x in other])))
+        self.known.update((x, self.known[stem] + self.ends[x[len(stem) :]]) for x, stem in ended.items())
 
     def _parts(self, text: str) -> list[bytes]:
         first, *rest = cut(text)
@@ -79,14 +115,16 @@ class PieceEncoder:
             if None in found:  # the memo was cleared meanwhile
                 self._learn({x for x, ids in zip(rest, found) if ids is None})
                 found = list(map(self.known.__getitem__, rest))
-        found.append(b"")
         return [*self._encoded([first]), *found] if first else found
 
     def count(self, text: str) -> int:
         return sum(map(len, self._parts(text))) // 4
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(self._parts(text)), dtype=np.uint32)
+    def ids(self, text: str, end: bytes = b"") -> np.ndarray:
+        """The ids of a text, and those of ``end``."""
+        parts = self._parts(text)
+        parts.append(end)
+        return np.frombuffer(b"".join(parts), dtype=np.uint32)
 
 
 def encoder(path: str) -> PieceEncoder:

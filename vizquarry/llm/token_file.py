@@ -39,6 +39,8 @@ def bit_width(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
+    if bits in (8, 16):
+        return ids.astype(f">u{bits // 8}").tobytes()
     if bits % 8 == 0:
         return ids.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - bits // 8 :].tobytes()
     shown = np.unpackbits(ids.astype(">u4").view(np.uint8)).reshape(-1, 32)
@@ -46,6 +48,8 @@ def pack_bits(ids: np.ndarray, bits: int) -> bytes:
 
 
 def unpack_bits(packed: np.ndarray, bits: int, n: int) -> np.ndarray:
+    if bits in (8, 16):
+        return packed.view(f">u{bits // 8}").astype("<u4")
     if bits % 8 == 0:
         whole = np.zeros((n, 4), dtype=np.uint8)
         whole[:, 4 - bits // 8 :] = packed.reshape(n, bits // 8)
@@ -109,6 +113,7 @@ def _packed(path: str, bits: int, end_id: int, segment_ids: int):
         from pyspark import TaskContext
 
         encoder, shard = pieces.encoder(path), TaskContext.get().partitionId()
+        end = np.uint32(end_id).tobytes()
         keys, arrays, held, segment, done = [], [], 0, 0, 0
 
         def made():
@@ -119,7 +124,7 @@ def _packed(path: str, bits: int, end_id: int, segment_ids: int):
 
         for batch in batches:
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encoder.ids(text.as_py()), np.uint32(end_id))
+                ids = encoder.ids(text.as_py(), end)
                 keys.append(key)
                 arrays.append(ids)
                 held += len(ids)
@@ -161,7 +166,8 @@ def _unpacked(batches):
             shard, start = batch.column("shard")[row].as_py(), batch.column("shard_start")[row].as_py()
             held = Segment(batch.column("payload")[row].as_py())
             n = len(held.doc_ids)
-            sums = [zlib.crc32(held.document(k).tobytes()) for k in range(n)]
+            ids, edges = memoryview(held.ids(0, held.n_ids).tobytes()), (4 * held.starts).tolist()
+            sums = [zlib.crc32(ids[a:b]) for a, b in zip(edges, edges[1:])]
             columns = [
                 pa.array(held.doc_ids, pa.int64()),
                 pa.array([shard] * n, pa.int32()),
