@@ -5,9 +5,9 @@ An edge row is (key columns ..., src, dst): ``src`` refers to ``dst`` in the gra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from vizquarry.session import Rounds, cut_lineage, remove, stored
+from vizquarry.session import Steps, cut_lineage, remove, stored
 
 
 def equations(edges: DataFrame, key: list[str]) -> DataFrame:
@@ -27,40 +27,28 @@ def settle(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     as many references as before and are gone after log2(depth) rounds. Steps between two nodes are one step, the longest.
     A graph of n nodes whose equations aren't solved when steps stand for n references has a cycle.
     """
-    spark = rows.sparkSession
     node = [*key, "src"]
-    kinds = ", ".join(f"`{c}` {t}" for c, t in rows.select(*node).dtypes)
-    done, cyclic = Rounds(spark, kinds + ", value int"), Rounds(spark, kinds)
     size = rows.where("dst IS NULL").groupBy(*key).agg(F.count("*").alias("n"))
     rows = rows.join(size, key)
-    span, path = 1, None
-    opened = F.max(F.col("dst").isNotNull()).over(_window(node)).alias("open")
+    opened = F.max(F.col("dst").isNotNull()).over(Window.partitionBy(*node)).alias("open")
+    steps, span = Steps(rows.sparkSession), 1
     while True:
-        now, new_path = stored(rows.select(*node, "dst", F.col("value").cast("int").alias("value"), "n", opened))
-        done.add(now.where("NOT open").select(*node, "value"))
+        # Dealt by node, so that neither the sums nor the look at a node's other rows move anything again.
+        now = rows.repartition(*node).groupBy(*node, "dst", "n").agg(F.max("value").cast("int").alias("value"))
+        now = steps.add(now.select(*node, "dst", "value", "n", opened, F.lit(span).alias("span")))
         live = now.where(F.col("open") & (F.col("n") > span))
-        cyclic.add(now.where(F.col("open") & (F.col("n") <= span) & F.col("dst").isNull()).select(*node))
-        if path:
-            remove(spark, path)
-        path = new_path
         if live.isEmpty():
-            remove(spark, path)
-            return done.all(), cyclic.all()
-        solved = done.all().select(*key, F.col("src").alias("at"), F.lit(None).cast("string").alias("dst"), "value")
+            every = steps.all()
+            cyclic = every.where(F.col("open") & (F.col("n") <= F.col("span")) & (F.col("n") > F.col("span") / 2) & F.col("dst").isNull())
+            return every.where("NOT open").select(*node, "value"), cyclic.select(*node)
+        solved = steps.all().where("NOT open").select(*key, F.col("src").alias("at"), "dst", "value")
         targets = solved.union(live.select(*key, F.col("src").alias("at"), "dst", "value"))
-        steps = live.where("dst IS NOT NULL").select(*node, F.col("dst").alias("at"), F.col("value").alias("step"), "n")
-        stepped = steps.join(targets, [*key, "at"]).select(*node, "dst", (F.col("step") + F.col("value")).alias("value"), "n")
+        asked = live.where("dst IS NOT NULL").select(*node, F.col("dst").alias("at"), F.col("value").alias("step"), "n")
+        stepped = asked.join(targets, [*key, "at"]).select(*node, "dst", (F.col("step") + F.col("value")).alias("value"), "n")
         rows = live.where("dst IS NULL").select(*node, "dst", "value", "n").union(stepped)
-        rows = rows.groupBy(*node, "dst", "n").agg(F.max("value").alias("value"))
         span *= 2
 
 
-def _window(node: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*node)
-
-
 def components(edges: DataFrame, key: list[str]) -> DataFrame:
     """(key ..., src, component): the nodes on a cycle, with the smallest node of their strongly connected component.
 
@@ -90,16 +78,16 @@ def simple_paths(edges: DataFrame, members: DataFrame, key: list[str]) -> DataFr
     at = members.select(*key, F.col("src").alias("dst"), F.col("component").alias("also"))
     inside = edges.join(members, [*key, "src"]).join(at, [*key, "dst"]).where("component = also")
     inside = cut_lineage(inside.select(*key, F.col("src").alias("last"), F.col("dst").alias("next")).distinct())
-    kinds = ", ".join(f"`{c}` {t}" for c, t in members.select(*key).dtypes)
-    found = Rounds(members.sparkSession, kinds + ", src string, last string, value int")
-    paths, length = members.select(*key, "src", F.col("src").alias("last"), F.array("src").alias("seen")), 1
-    while not paths.isEmpty():
-        found.add(paths.select(*key, "src", "last", F.lit(length).alias("value")).distinct())
+    rounds, length = Steps(members.sparkSession), 1
+    paths = members.select(*key, "src", F.col("src").alias("last"), F.array("src").alias("seen"))
+    while True:
+        paths = rounds.add(paths.withColumn("value", F.lit(length)))
+        if paths.isEmpty():
+            return rounds.all().groupBy(*key, "src", "last").agg(F.max("value").alias("value"))
         grown = paths.join(inside, [*key, "last"]).where(~F.array_contains("seen", F.col("next")))
         seen = F.array_sort(F.array_append("seen", F.col("next"))).alias("seen")
-        paths = cut_lineage(grown.select(*key, "src", F.col("next").alias("last"), seen).distinct())
+        paths = grown.select(*key, "src", F.col("next").alias("last"), seen).distinct()
         length += 1
-    return found.all().groupBy(*key, "src", "last").agg(F.max("value").alias("value"))
 
 
 def longest_paths(edges: DataFrame, key: list[str]) -> DataFrame:

@@ -84,6 +84,24 @@ class Rounds:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
 
+class Steps:
+    """The rounds of a loop, each written once; the next round reads the last one, the result reads them all."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.schema = spark, [], None
+        self.path = os.path.join(scratch_dir(spark), f"steps-{uuid.uuid4().hex}")
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write a round and read it back."""
+        self.paths.append(os.path.join(self.path, str(len(self.paths))))
+        df.write.parquet(self.paths[-1])
+        self.schema = df.schema
+        return self.spark.read.schema(self.schema).parquet(self.paths[-1])
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
 _SHIPPED: set[str] = set()
 
 

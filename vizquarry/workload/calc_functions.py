@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vizquarry import fixed
+from vizquarry.operators.quantiles import quantiles
 from vizquarry.plans.dashboards import union_all
 from vizquarry.workload import fixtures as fx
 from vizquarry.workload.checks import check
@@ -145,6 +146,16 @@ def fn_approx(spark, sf):
     return source.groupBy("return_flag").agg(*[F.expr(e).alias(m) for m, e in exprs.items()])
 
 
+QUANTILES = {"p01": 0.01, "mid": 0.5, "p90": 0.9, "most": 1.0}
+
+
+def fn_quantiles(spark, sf):
+    """MEDIAN and PERCENTILE by distributed selection: each group is counted by all tasks."""
+    source = _view(spark, sf, "fn_percentile.p90").source()
+    found = quantiles(source, ["return_flag", "line_status"], "extended_price", QUANTILES)
+    return found.select("return_flag", "line_status", *[F.round(q, 4).alias(q) for q in QUANTILES])
+
+
 def fn_collect(spark, sf):
     exprs = {m: _view(spark, sf, f"fn_collect.{m}").expr for m in COLLECTED}
     source = _view(spark, sf, "fn_collect.numbers").source()
@@ -193,6 +204,7 @@ QUERIES = {
     **{name: _measures(name) for name in MEASURES},
     "fn_measure_reference": fn_measure_reference,
     "fn_approx": fn_approx,
+    "fn_quantiles": fn_quantiles,
     "fn_collect": fn_collect,
     "fn_passthrough": fn_passthrough,
     "fn_date_units": fn_date_units,
@@ -226,6 +238,9 @@ for _name, _specs in MEASURES.items():
     CHECKS[_name] = f"SELECT return_flag, {_cols} FROM sales_lines GROUP BY return_flag"
 CHECKS["fn_measure_reference"] = """SELECT return_flag, round(sum(extended_price), 2) AS total,
     round(sum(extended_price) / 2, 2) AS half_total FROM sales_lines GROUP BY return_flag"""
+CHECKS["fn_quantiles"] = "SELECT return_flag, line_status, " + ", ".join(
+    f"round(quantile_cont(extended_price, {p}), 4) AS {q}" for q, p in QUANTILES.items()
+) + " FROM sales_lines GROUP BY return_flag, line_status"
 CHECKS["fn_collect"] = """SELECT order_id, array_to_string(list_sort(list(line_number)), ',') AS numbers,
     array_to_string(list_sort(list(DISTINCT return_flag)), ',') AS flags FROM sales_lines GROUP BY order_id"""
 CHECKS["fn_passthrough"] = " UNION ALL ".join(
