@@ -132,13 +132,6 @@ def test_odd_declarations_end_nothing(odd):
         assert html_text.main_text(f"<p>a {odd} b</p>") == "a b"
 
 
-@pytest.mark.parametrize("odd", ["<![foo bar]>", "<![ b>", "<![>", "<![if x", "<![CDATA[ x", "<![foo", "<!-", "<!>", "<!foo [x]>"])
-def test_odd_declarations_end_nothing(odd):
-    assert html_text.main_text(f"<article><p>Before, it stands.</p>{odd}</article>").startswith("Before, it stands.")
-    if odd.endswith(">"):
-        assert html_text.main_text(f"<p>a {odd} b</p>") == "a b"
-
-
 LONG = "<p>Some text, long enough, to be the article, of this page.</p><p>More of it, at length, follows here.</p>"
 LONG_TEXT = "Some text, long enough, to be the article, of this page.\nMore of it, at length, follows here."
 
@@ -262,3 +255,27 @@ def test_mixing(spark, monkeypatch, share, epochs):
         assert copies == sorted(want, key=str)
     empty = mixing.with_levels(frame.limit(0), {"l1": frame.p, "l2": frame.q})
     assert mixing.taken(empty, mixing.plan(empty, ["l1", "l2"], weights, share, epochs), ["l1", "l2"]).count() == 0
+
+
+LOST_BEFORE = [
+    ("<body><article><p>One, two, three and so on.</p><p>More of it, and more.</p></article><article><h2>Second</h2><p>Short.</p></article></body>",
+     "One, two, three and so on.\nMore of it, and more.\nSecond\nShort."),
+    ("<body><div class='part1'><p>A first, long part.</p><p>It goes on, as it does.</p><p>And on, again.</p></div><div class='part2'>A short closing part.</div></body>",
+     "A first, long part.\nIt goes on, as it does.\nAnd on, again.\nA short closing part."),
+    ("<body><div><p>A first, long part.</p><p>It goes on, as it does.</p></div><p>No full stop</p></body>",
+     "A first, long part.\nIt goes on, as it does.\nNo full stop"),
+    ("<body><article><p>The beginning, and so on.</p><div class='social-history'><p>a long sentence of the article</p></div></article></body>",
+     "The beginning, and so on.\na long sentence of the article"),
+    ("<body><article><p>Press <button>now</button>, please.</p><p>Then the <label>name</label> shows, at last.</p></article></body>",
+     "Press now, please.\nThen the name shows, at last."),
+    # What still goes.
+    ("<body><article><p>The text, as it is.</p><div class='share'>Share this text</div><div class='ad-box'>Buy, buy.</div>"
+     "<div class='related-posts'><a href='x'>Other</a> <a href='y'>Another</a></div><p><button>Like</button></p></article>"
+     "<article class='comment'><p>I read it, all of it, and more, and more, and yet more.</p></article><p><a href='z'>Next page</a></p></body>",
+     "The text, as it is."),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), LOST_BEFORE)
+def test_no_part_of_the_article_is_lost(html, text):
+    assert html_text.main_text(html) == text

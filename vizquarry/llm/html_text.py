@@ -5,7 +5,8 @@ cuts no wrapper of the article. Every paragraph
 scores a point, a point for each comma and up to three for its length, discounted by the share of its text that stands
 in links; its parent receives the points, its grandparent half of them, and each ancestor above a third of what the
 one below got. The container with the most points after its own link discount is the article, or the article element
-around it; siblings that score well or read like running text are kept with it.
+around it; siblings that aren't cut and aren't mostly links are kept with it. Inside the article a class or id cuts only what it names
+outright, or what has links or controls besides.
 
 Defined results: a null, empty or unparsable html gives an empty text; white space inside a block becomes one
 space, blocks are joined by one \\n in page order; ties go to the container that comes first; repeated rows give
@@ -40,6 +41,12 @@ CUT_WORDS = frozenset(
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Marks of what readers write, which may be longer than the article.
 COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: Words that need no second sign inside the article.
+SURE_WORDS = COMMENT_WORDS | frozenset("ad ads advert advertisement adverts advertising sponsor sponsored".split())
+#: Controls that may stand in a sentence.
+INLINE_CONTROLS = frozenset("button label".split())
+#: What an element with controls of its own holds.
+CONTROLS = frozenset("form button input select textarea nav".split())
 #: What a head holds; anything else ends it.
 HEAD_TAGS = frozenset("head title meta link script style noscript template base basefont bgsound noframes".split())
 #: An element that is still open is closed when one of these begins.
@@ -58,20 +65,34 @@ _COMMAS = re.compile(r"[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "named", "score", "scored", "length", "linked", "order")
+    __slots__ = ("tag", "parent", "parts", "cut", "named", "sure", "score", "scored", "length", "linked", "order")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool, order: int):
         self.tag, self.parent, self.cut, self.order = tag, parent, cut, order
         self.parts: list = []
         self.named: set = set()
+        #: The names alone tell; otherwise they need a second sign inside an article.
+        self.sure = False
         self.score, self.scored, self.length, self.linked = 0.0, False, 0, 0
 
 
 def names(tag: str, attributes: list) -> set:
     """The words in class and id that say that the element is no part of the article."""
-    if tag in WHOLE_TAGS:
+    if tag in WHOLE_TAGS and tag != "article":
         return set()
-    return {w for name, value in attributes if name in ("class", "id") for w in _WORDS.findall((value or "").lower())} & CUT_WORDS
+    found = {w for name, value in attributes if name in ("class", "id") for w in _WORDS.findall((value or "").lower())}
+    return found & (COMMENT_WORDS if tag == "article" else CUT_WORDS)
+
+
+def only_named(attributes: list) -> bool:
+    """Does a class or id consist of such words alone, or name an advert or a reader's comment?"""
+    for name, value in attributes:
+        if name in ("class", "id"):
+            for word in (value or "").lower().split():
+                parts = set(_WORDS.findall(word))
+                if parts and (parts <= CUT_WORDS or parts & SURE_WORDS):
+                    return True
+    return False
 
 
 def marked(tag: str, attributes: list) -> bool:
@@ -117,16 +138,6 @@ class Tree(HTMLParser):
             k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
         return k
 
-    def parse_html_declaration(self, i):
-        """A marked section that the library doesn't know is a bogus comment, as in browsers."""
-        try:
-            k = super().parse_html_declaration(i)
-        except AssertionError:
-            k = -1
-        if k < 0 and self.rawdata.startswith("<![", i):
-            k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
-        return k
-
     def _end_head(self, anywhere: bool) -> None:
         node = self.at
         while anywhere and node.parent is not None and node.tag != "head":
@@ -134,16 +145,6 @@ class Tree(HTMLParser):
         if node.tag == "head":
             self.at = node.parent
 
-    def parse_html_declaration(self, i):
-        """A marked section that the library doesn't know is a bogus comment, as in browsers."""
-        try:
-            k = super().parse_html_declaration(i)
-        except AssertionError:
-            k = -1
-        if k < 0 and self.rawdata.startswith("<![", i):
-            k = self.rawdata.find(">", i) + 1 or len(self.rawdata)
-        return k
-
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD_TAGS:
             self._end_head(tag == "body")
@@ -153,7 +154,7 @@ class Tree(HTMLParser):
             self._close(CLOSED_BY[tag], SCOPES - {"td", "th"})
         node = Node(tag, self.at, self.at.cut or marked(tag, attrs), len(self.nodes))
         if not node.cut:
-            node.named = names(tag, attrs)
+            node.named, node.sure = names(tag, attrs), only_named(attrs)
         self.at.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID_TAGS:
@@ -174,7 +175,7 @@ class Tree(HTMLParser):
     def handle_data(self, data):
         if self.at.tag == "head" and data.strip():
             self._end_head(False)
-        if not self.at.cut:
+        if not self.at.cut or self.at.tag in INLINE_CONTROLS and not self.at.parent.cut:
             self.at.parts.append(data)
 
 
@@ -226,6 +227,14 @@ def paragraph_points(node: Node) -> float:
     return (1 + len(_COMMAS.findall(text)) + min(len(text) / 100, 3)) * (1 - density(node)) if text else 0.0
 
 
+def spare_words(nodes: list[Node]) -> None:
+    """A control of plain text inside a sentence is part of it."""
+    for x in nodes[1:]:
+        if x.tag in INLINE_CONTROLS and x.cut and not x.parent.cut and x.parts and all(isinstance(p, str) for p in x.parts):
+            if any(isinstance(p, str) and p.strip() for p in x.parent.parts):
+                x.cut = False
+
+
 def cut_named(nodes: list[Node]) -> None:
     """Cut what its name marks, but not a wrapper of the article.
 
@@ -249,7 +258,18 @@ def cut_named(nodes: list[Node]) -> None:
             points[x.parent.order] += points[x.order]
             several[x.parent.order] += several[x.order]
             holds[x.parent.order] |= holds[x.order] and bool(x.length)
+    plain = any(x.tag == "article" and not x.named and not x.cut for x in nodes)
+    controls = [x.tag in CONTROLS for x in nodes]
+    for x in reversed(nodes[1:]):
+        controls[x.parent.order] |= controls[x.order]
     for x in nodes[1:]:
+        if x.tag == "article":  # a reader's comment, unless the page has no other article
+            x.cut = x.cut or x.parent.cut or bool(x.named) and plain
+            continue
+        # Inside the article a name that may as well be a topic's needs a second sign: links or controls.
+        if x.named and inside[x.order] and not x.sure and density(x) < 0.25 and not controls[x.order]:
+            x.cut = x.cut or x.parent.cut
+            continue
         wraps = holds[x.order] or not outside and several[x.order] > 1 and 4 * points[x.order] > 3 * points[0]
         x.cut = x.cut or x.parent.cut or bool(x.named) and not wraps
     for x in nodes:
@@ -279,18 +299,23 @@ def best_container(nodes: list[Node]) -> Node | None:
 
 
 def kept_siblings(best: Node) -> list[Node]:
-    """The best container with the siblings that belong to it, in page order."""
+    """The best container with the siblings that belong to it, in page order.
+
+    Beside an article these are other articles that aren't readers' comments, and paragraphs. Beside any other container it is whatever isn't
+    cut and isn't mostly links: how short it is decides nothing.
+    """
     if best.parent is None or best.tag == "main":
         return [best]
-    least = max(10.0, 0.2 * best.score)
     kept = []
     for x in best.parent.parts:
         if x is best:
             kept.append(x)
-        elif not isinstance(x, str) and not x.cut and x.length:
-            text = inner_text(x).strip()
-            runs_on = x.tag == "p" and (len(text) > 80 and density(x) < 0.25 or 0 < len(text) <= 80 and not x.linked and text.endswith((".", "!", "?")))
-            if x.scored and x.score * (1 - density(x)) >= least or runs_on:
+        elif not isinstance(x, str) and not x.cut and x.length and inner_text(x).strip():
+            if best.tag != "article" or x.tag == "p":
+                belongs = density(x) < 0.33
+            else:
+                belongs = x.tag == "article" and not x.named and density(x) < 0.5
+            if belongs:
                 kept.append(x)
     return kept
 
@@ -329,6 +354,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     nodes = parse(html)
+    spare_words(nodes)
     if any(x.named for x in nodes):
         cut_named(nodes)
     return article(nodes)
