@@ -21,7 +21,7 @@ def stages(spark):
     long_text = " ".join(f"w{k % 977}" for k in range(30_000))
     odd = [(None, "a text without an id " * 9, "en", "src1", 1), (9001, None, None, None, None), (9002, "", "en", "src2", 0), (9003, long_text, "en", None, 5)]
     odd += [tuple(r) for r in docs.where("doc_id = 1").collect()]
-    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema)).selectExpr("*", "7 AS n_tokens", "'x' AS whole", "1 AS rep", "2 AS kept")
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema)).selectExpr("*", "7 AS n_tokens", "'x' AS whole", "1 AS rep", "2 AS kept", "3 AS _mix_whole", "4 AS _mix_last", "5 AS _mix_domain", "6 AS _mix_row", "8 AS row")
     found = []
     for _, stage in corpus_pipeline.STAGES:
         made = cut_lineage(stage(spark, docs, SF))
@@ -41,6 +41,16 @@ def test_names_and_columns(stages):
     for before, after in stages[:-1]:
         assert after.columns == before.columns and set(ids(after)) <= {r.doc_id for r in before.collect()}
         assert after.count() > 0
+    mixed = stages[3][1].select("_mix_whole", "_mix_last", "_mix_domain", "_mix_row", "row").distinct().collect()
+    assert [tuple(r) for r in mixed] == [(3, 4, 5, 6, 8)]
+
+
+def test_of_two_texts_under_one_id_the_smaller_stays(spark):
+    rows = [(1, t, "en", "src1", 1) for t in ("one text of five words or more", "another text, which is not like it", "some third text under the same id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    for parts in (1, 3):
+        left = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(parts), SF).collect()
+        assert [r.text for r in left] == ["another text, which is not like it"]
 
 
 def test_rules(stages):

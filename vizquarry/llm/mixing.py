@@ -161,9 +161,10 @@ def corpus_rows(docs: DataFrame, share: float, epochs: int) -> DataFrame:
 
 
 def corpus_documents(docs: DataFrame, share: float) -> DataFrame:
-    """The documents that a mix of one epoch takes, with their own columns."""
-    marked, _, leaves = mix_corpus(docs, share, 1)
-    return taken(marked, leaves, LEVELS, SEED).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that a mix of one epoch takes, with their own columns, whatever their names."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row")
+    marked, _, leaves = mix_corpus(docs.select("doc_id", "text", "lang", "source", row), share, 1)
+    return taken(marked, leaves, LEVELS, SEED).select("_mix_row.*")
 
 
 def _level_check(depth: int) -> str:
