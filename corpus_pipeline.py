@@ -1,13 +1,13 @@
 """From raw documents to a token file: five stages, each over all that the one before kept.
 
 Defined results: rows without a doc_id can't be named by any decision and go with the first stage; rows of one doc_id
-are one document: they stay if one of them passes the rules, and the near-duplicate stage leaves one of them; extra
+are one document: they stay if one of them passes the rules, and the near-duplicate stage leaves the one of the smallest text; extra
 columns are carried through the filtering stages as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vizquarry.llm import decontaminate, mixing, near_dedup, quality_rules, registry, token_file
 from vizquarry.session import cut_lineage
@@ -27,7 +27,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keep the smallest doc_id of each group of near duplicates (five-word shingles, Jaccard 0.8 or more)."""
     registry.ship(spark)
     kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row"))
+    return found.select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
