@@ -113,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 CHECKS: dict[str, str] = {
     "op7_decontamination": decontaminate.CHECK,
     "op10_mixing": mixing.check(MIX_SHARE, MIX_EPOCHS),
+    "op11_repeats": repeats.CHECK,
     "op12_hard_negatives": negatives.CHECK,
     "op13_clusters": clusters.check(),
 }

@@ -443,3 +443,26 @@ def remove_repeats(
     kind = rows.schema["id"].dataType.simpleString()
     made = joined.mapInArrow(_kept, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return made.withColumnRenamed("id", id_column)
+
+
+#: The same rows by counting every window.
+CHECK = """
+WITH docs AS (
+    SELECT row_number() OVER () AS n, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+    SELECT n, i, md5_number(b[i:i + 199]) AS w FROM (SELECT n, b, unnest(range(1, octet_length(b) - 198)) AS i FROM docs WHERE octet_length(b) >= 200)
+), twice AS (
+    SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), hit AS (
+    SELECT n, i, coalesce(i > 200 + lag(i) OVER (PARTITION BY n ORDER BY i) , true) AS fresh FROM windows SEMI JOIN twice USING (w)
+), span AS (
+    SELECT n, min(i) AS a, max(i) + 199 AS z FROM (SELECT n, i, sum(fresh::INT) OVER (PARTITION BY n ORDER BY i) AS s FROM hit) GROUP BY n, s
+), cut AS (
+    SELECT n, a, z, coalesce(lag(z) OVER (PARTITION BY n ORDER BY a), 0) AS before FROM span
+), kept AS (
+    SELECT n, sum(z - a + 1) AS removed, count(*) AS spans, max(z) AS last, string_agg(hex(b[before + 1:a - 1]), '' ORDER BY a) AS h FROM cut JOIN docs USING (n) GROUP BY n
+)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(h, '') || hex(b[coalesce(last, 0) + 1:octet_length(b)]))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (n)
+"""
