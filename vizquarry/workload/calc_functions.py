@@ -141,9 +141,15 @@ def fn_measure_reference(spark, sf):
 
 
 def fn_approx(spark, sf):
+    """Approximate aggregates beside the exact ones: within 10 % of the count, and in the middle by rank."""
     exprs = {m: _view(spark, sf, f"fn_approx.{m}").expr for m in APPROXIMATE}
     source = _view(spark, sf, "fn_approx.parts").source()
-    return source.groupBy("return_flag").agg(*[F.expr(e).alias(m) for m, e in exprs.items()])
+    exact = {"exact_parts": "count(DISTINCT part_id)", "low": "percentile(quantity, 0.48)", "high": "percentile(quantity, 0.52)"}
+    found = source.groupBy("return_flag").agg(*[F.expr(e).alias(m) for m, e in (exprs | exact).items()])
+    return found.select(
+        "return_flag", "exact_parts", (F.abs(F.col("parts") - F.col("exact_parts")) <= 0.1 * F.col("exact_parts")).alias("parts_close"),
+        F.col("p50").between(F.floor("low"), F.ceil("high")).alias("p50_close"),
+    )
 
 
 QUANTILES = {"p01": 0.01, "mid": 0.5, "p90": 0.9, "most": 1.0}
@@ -238,6 +244,8 @@ for _name, _specs in MEASURES.items():
     CHECKS[_name] = f"SELECT return_flag, {_cols} FROM sales_lines GROUP BY return_flag"
 CHECKS["fn_measure_reference"] = """SELECT return_flag, round(sum(extended_price), 2) AS total,
     round(sum(extended_price) / 2, 2) AS half_total FROM sales_lines GROUP BY return_flag"""
+CHECKS["fn_approx"] = """SELECT return_flag, count(DISTINCT part_id) AS exact_parts, true AS parts_close, true AS p50_close
+    FROM sales_lines GROUP BY return_flag"""
 CHECKS["fn_quantiles"] = "SELECT return_flag, line_status, " + ", ".join(
     f"round(quantile_cont(extended_price, {p}), 4) AS {q}" for q, p in QUANTILES.items()
 ) + " FROM sales_lines GROUP BY return_flag, line_status"

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
+from vizquarry.operators.sketches import DISTINCT_ERROR, RANK_ERROR, SketchStore
 from vizquarry.plans import dashboards as dash
+from vizquarry.session import scratch_dir
 from vizquarry.workload import fixtures as fx
 from vizquarry.workload.checks import check
 from vizquarry.workload.ingest import manifest
@@ -24,6 +29,28 @@ def profile_columns_approx(spark, sf):
     return dash.profile_columns(_lines(spark, sf), "sales_lines").select("column_name", "shape", "non_null_count")
 
 
+def sketch_profile(spark, sf):
+    """Profiles merged from the sketches of batches, beside what the rows say: their errors are within the bounds."""
+    lines = _lines(spark, sf)
+    store = SketchStore(spark, os.path.join(scratch_dir(spark), f"sketches-{uuid.uuid4().hex}"))
+    flags = sorted(r.return_flag for r in lines.select("return_flag").distinct().collect())  # a batch for each of a few flags
+    for flag in [*flags, flags[0]]:  # the first comes a second time
+        store.add(lines.where(F.col("return_flag") == flag), "sales_lines", flag, F.date_trunc("month", "ship_date"))
+    merged = store.merged()
+    found = {r.column_name: r for r in merged.collect()}  # a row for each column
+    exact = dash.profile_columns(lines, "sales_lines", "exact").select("column_name", F.col("distinct_count").alias("exact_count"))
+    numbers = [c for c, r in found.items() if r.quantiles]
+    below = lines.agg(*[F.avg((F.col(c) < found[c].quantiles[0]).cast("int")).alias(f"l_{c}") for c in numbers],
+                      *[F.avg((F.col(c) <= found[c].quantiles[0]).cast("int")).alias(f"h_{c}") for c in numbers])
+    ranks = below.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"l_{c}").alias("low"), F.col(f"h_{c}").alias("high")) for c in numbers])))
+    middle = (F.col("low") <= 0.5 + RANK_ERROR) & (F.col("high") >= 0.5 - RANK_ERROR)
+    return merged.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "row_count", "non_null_count", "exact_count",
+        (F.abs(F.col("distinct_count") - F.col("exact_count")) <= F.greatest(F.lit(1.0), DISTINCT_ERROR * F.col("exact_count"))).alias("distinct_close"),
+        middle.alias("middle_close"),
+    )
+
+
 def dash_kpi(spark, sf):
     return dash.kpi(
         _lines(spark, sf),
@@ -78,7 +105,7 @@ def dash_scope_check(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        profile_columns, profile_columns_approx, dash_kpi, dash_categories, dash_timeseries, dash_detail,
+        profile_columns, profile_columns_approx, sketch_profile, dash_kpi, dash_categories, dash_timeseries, dash_detail,
         dash_filter_values, dash_empty_tables, dash_widget_plan, dash_scope_check,
     )
 }
@@ -125,6 +152,11 @@ CHECKS = {
         f"SELECT '{c}' AS column_name, '{s}' AS shape, count({c}) AS non_null_count FROM sales_lines"
         for c, (_, s) in _LINE_COLUMNS.items()
     ),
+    "sketch_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null_count, count(DISTINCT {c}) AS exact_count,"
+        f" true AS distinct_close, {'true' if s == 'numeric' else 'CAST(NULL AS BOOLEAN)'} AS middle_close FROM sales_lines"
+        for c, (_, s) in _LINE_COLUMNS.items()
+    ),
     "dash_kpi": """SELECT count(*) AS lines, round(sum(extended_price), 2) AS total, max(quantity) AS largest
         FROM sales_lines""",
     "dash_categories": """SELECT part_id, count(*) AS lines, sum(quantity) AS units FROM sales_lines GROUP BY part_id
