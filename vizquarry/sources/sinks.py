@@ -19,6 +19,29 @@ def _register(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
 
 
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """The columns of ``table`` from ``df``; what the table lacks is added to its metadata first."""
+    spark = df.sparkSession
+    known = {f.name.lower(): f for f in spark.table(table).schema}
+    for f in df.schema:
+        old = known.get(f.name.lower())
+        if old is not None and old.dataType != f.dataType:
+            raise ValueError(
+                f"{table}.{f.name} holds {old.dataType.simpleString()}, not {f.dataType.simpleString()}"
+            )
+    added = [f for f in df.schema if f.name.lower() not in known]
+    if added:
+        listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    have = {c.lower() for c in df.columns}
+    return df.select(
+        *[
+            F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema
+        ]
+    )
+
+
 def write_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table, creating the schema, and return the table.
 
@@ -39,23 +62,33 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", path: str |
         writer.mode(mode).saveAsTable(table)
         return spark.table(table)
 
-    known = {f.name.lower(): f for f in spark.table(table).schema}
-    for f in df.schema:
-        old = known.get(f.name.lower())
-        if old is not None and old.dataType != f.dataType:
-            raise ValueError(
-                f"{table}.{f.name} holds {old.dataType.simpleString()}, not {f.dataType.simpleString()}"
-            )
-    added = [f for f in df.schema if f.name.lower() not in known]
-    if added:
-        listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
-    have = {c.lower() for c in df.columns}
-    aligned = df.select(
-        *[
-            F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(table).schema
-        ]
-    )
+    aligned = _aligned(df, table)
     aligned.write.mode("append").insertInto(table)
     return spark.table(table)
+
+
+def write_batch(df: DataFrame, table: str, batch: str, path: str | None = None, column: str = "batch_id") -> DataFrame:
+    """Put a batch of rows into ``table``, in place of what the same batch left before, and return the table.
+
+    Each batch is a partition. It is written beside the table and moved into its place when all its files are there, so a
+    write that is repeated or broken off leaves the rows of every batch once. New columns are added as in ``write_table``.
+    """
+    spark = df.sparkSession
+    if column.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"{column} names the batch")
+    rows = df.withColumn(column, F.lit(batch))
+    if "." in table:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    if not spark.catalog.tableExists(table):
+        # The table keeps the option: only partitions that a write holds rows for are replaced, after they are staged.
+        writer = rows.limit(0).write.format("parquet").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+        (writer.option("path", path) if path else writer).mode("ignore").saveAsTable(table)
+    if df.isEmpty():  # an empty batch replaces an older one as well
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quoted(column)} = '{_escaped(batch)}') PURGE")
+        return spark.table(table)
+    _aligned(rows, table).write.insertInto(table, overwrite=True)
+    return spark.table(table)
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

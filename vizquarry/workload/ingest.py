@@ -128,6 +128,18 @@ def sink_merge_append(spark, sf):
     return sinks.write_table(second, name, "append")
 
 
+def sink_batches(spark, sf):
+    """Orders by batches, one of them first short and then whole, another one twice."""
+    orders = fx.view(spark, sf, "sales_orders").select("order_id", "total_price", "customer_id", "order_status")
+    name = f"batches_{uuid.uuid4().hex}"
+    path = os.path.join(scratch_dir(spark), name)
+    short = orders.where("order_status = 'F' AND total_price > 0").select("order_id", "total_price")
+    sinks.write_batch(short, name, "F", path)
+    for status in ("O", "F", "P", "O"):
+        sinks.write_batch(orders.where(F.col("order_status") == status).drop("order_status"), name, status)
+    return spark.table(name)
+
+
 def _loaded(spark, sf):
     found = fx.tables(spark, sf)
     found["rejected_orders"] = found["sales_orders"].where("total_price < 0")
@@ -215,6 +227,7 @@ QUERIES = {
     "sanitize_identifiers": sanitize_identifiers,
     "dedupe_columns": dedupe_columns,
     "sink_merge_append": sink_merge_append,
+    "sink_batches": sink_batches,
     "ingest_manifest": manifest,
     "workbooks_without_extract": workbooks_without_extract,
     "table_paths": table_paths,
@@ -248,6 +261,7 @@ CHECKS = {
     "dedupe_columns": f"""SELECT table_name, column_ord, base || CASE WHEN n = 1 THEN '' ELSE '_' || (n - 1) END
         AS clean_name FROM (SELECT *, row_number() OVER (PARTITION BY table_name, base ORDER BY column_ord) AS n
         FROM (SELECT *, {_CLEAN.format(c='column_name')} AS base FROM ({COLUMN_LISTS})))""",
+    "sink_batches": "SELECT order_id, total_price, customer_id, order_status AS batch_id FROM sales_orders",
     "sink_merge_append": """SELECT order_id, total_price,
         CASE WHEN order_status = 'O' THEN customer_id END AS customer_id,
         CASE WHEN order_status <> 'O' THEN order_priority END AS order_priority FROM sales_orders""",
