@@ -19,6 +19,7 @@ import numpy as np
 #: only; that leaves cuts out and does no harm.
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 _OTHER = tuple("\t\v\f\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\x1c\x1d\x1e\x1f") + tuple(map(chr, range(0x2000, 0x200B)))
+_OTHER_ASCII = tuple(x for x in _OTHER if x.isascii())
 #: Pieces that may be encoded together: no white space, and nothing that may begin a special string.
 _PLAIN = re.compile(r"[^\s<]+")
 #: Marks that are cut from the letter before them; an apostrophe may go with letters, the other may begin a special string.
@@ -41,7 +42,8 @@ def tokenizer_version(path: str) -> str:
 
 def cut(text: str) -> list[str]:
     """Pieces; those after the first have lost a space before them unless they start with a line end."""
-    if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _DOUBLE) or any(x in text for x in _OTHER):
+    other = _OTHER_ASCII if text.isascii() else _OTHER
+    if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _DOUBLE) or any(x in text for x in other):
         return _CUT.split(text)
     return text.replace("\n", " \n").split(" ")
 
@@ -59,6 +61,8 @@ class PieceEncoder:
         self.memo = memo
         #: Ids of pieces as the bytes of 32-bit integers.
         self.known: dict[str, bytes] = {}
+        #: The same of the first pieces of texts, which no space precedes.
+        self.firsts: dict[str, bytes] = {"": b""}
         #: Ids of runs of marks.
         self.ends: dict[str, bytes] = {}
         names = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
@@ -115,7 +119,12 @@ class PieceEncoder:
             if None in found:  # the memo was cleared meanwhile
                 self._learn({x for x, ids in zip(rest, found) if ids is None})
                 found = list(map(self.known.__getitem__, rest))
-        return [*self._encoded([first]), *found] if first else found
+        if first not in self.firsts:
+            if len(self.firsts) >= self.memo:
+                self.firsts = {"": b""}
+            self.firsts[first] = self._encoded([first])[0]
+        found.insert(0, self.firsts[first])
+        return found
 
     def count(self, text: str) -> int:
         return sum(map(len, self._parts(text))) // 4
