@@ -317,7 +317,8 @@ def test_longest_paths_of_every_node(spark):
         want.update({(g, n): longest(adjacent, n, {n}) for n in adjacent})
         edges += [(g, a, b) for a, b in own] * 2
     df = spark.createDataFrame(edges, "g int, src string, dst string")
-    assert {(r.g, r.src): r.value for r in graphs.longest_paths(df, ["g"]).collect()} == want
+    got = {(r.g, r.src): r.value for r in graphs.longest_paths(df, ["g"]).collect()}
+    assert got == {k: v for k, v in want.items() if v > 1}  # fields that refer to nothing are 1
     assert graphs.longest_paths(df.where("g < 0"), ["g"]).isEmpty()
 
 

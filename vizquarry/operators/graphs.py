@@ -10,43 +10,46 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vizquarry.session import Steps, cut_lineage, remove, stored
 
 
-def equations(edges: DataFrame, key: list[str]) -> DataFrame:
-    """The rows that ``settle`` solves for the number of nodes on the longest path: 1 for a node, 1 more for a step."""
-    nodes = edges.select(*key, F.explode(F.array("src", "dst")).alias("src")).distinct()
-    alone = nodes.select(*key, "src", F.lit(None).cast("string").alias("dst"), F.lit(1).alias("value"))
-    return alone.union(edges.select(*key, "src", "dst", F.lit(1).alias("value")).distinct())
-
-
-def settle(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+def settle(rows: DataFrame, key: list[str], default: int | None = None, bound: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Solve ``value(src) = max(constant, step + value(dst))`` for every node that reaches no cycle.
 
-    ``rows`` are (key ..., src, dst, value), with the constant of each node in a row without ``dst`` and a step in any
-    other. Returns (key ..., src, value) of the solved nodes and (key ..., src) of those that reach a cycle.
+    ``rows`` are (key ..., src, dst, value): a step to ``dst``, or the constant of the node where ``dst`` is null. With a
+    ``default`` they are stored steps only, and a node without any is worth that. Returns (key ..., src, value) of the
+    solved nodes of ``rows`` and (key ..., src) of those that reach a cycle.
 
     Pointer doubling: each round puts the equation of ``dst`` in its place in every equation, so steps stand for twice
     as many references as before and are gone after log2(depth) rounds. Steps between two nodes are one step, the longest.
-    A graph of n nodes whose equations aren't solved when steps stand for n references has a cycle.
+    What is left when steps stand for more references than any graph has (``bound``) goes in a cycle.
     """
     node = [*key, "src"]
-    size = rows.where("dst IS NULL").groupBy(*key).agg(F.count("*").alias("n"))
-    rows = rows.join(size, key)
     opened = F.max(F.col("dst").isNotNull()).over(Window.partitionBy(*node)).alias("open")
     steps, span = Steps(rows.sparkSession), 1
-    while True:
+
+    def add(made: DataFrame) -> DataFrame:
         # Dealt by node, so that neither the sums nor the look at a node's other rows move anything again.
-        now = rows.repartition(*node).groupBy(*node, "dst", "n").agg(F.max("value").cast("int").alias("value"))
-        now = steps.add(now.select(*node, "dst", "value", "n", opened, F.lit(span).alias("span")))
-        live = now.where(F.col("open") & (F.col("n") > span))
-        if live.isEmpty():
-            every = steps.all()
-            cyclic = every.where(F.col("open") & (F.col("n") <= F.col("span")) & (F.col("n") > F.col("span") / 2) & F.col("dst").isNull())
-            return every.where("NOT open").select(*node, "value"), cyclic.select(*node)
-        solved = steps.all().where("NOT open").select(*key, F.col("src").alias("at"), "dst", "value")
-        targets = solved.union(live.select(*key, F.col("src").alias("at"), "dst", "value"))
-        asked = live.where("dst IS NOT NULL").select(*node, F.col("dst").alias("at"), F.col("value").alias("step"), "n")
-        stepped = asked.join(targets, [*key, "at"]).select(*node, "dst", (F.col("step") + F.col("value")).alias("value"), "n")
-        rows = live.where("dst IS NULL").select(*node, "dst", "value", "n").union(stepped)
+        longest = made.repartition(*node).groupBy(*node, "dst").agg(F.max("value").cast("int").alias("value"))
+        return steps.add(longest.select(*node, "dst", "value", opened)).where("open")
+
+    live = rows.select(*node, "dst", "value") if default is not None else add(rows)
+    while not live.isEmpty() and (bound is None or span <= bound):
+        targets = live.select(*key, F.col("src").alias("at"), "dst", "value")
+        if steps.paths:
+            targets = targets.union(steps.all().where("NOT open").select(*key, F.col("src").alias("at"), "dst", "value"))
+        asked = live.where("dst IS NOT NULL").select(*node, F.col("dst").alias("at"), F.col("value").alias("step"))
+        met = asked.join(targets, [*key, "at"], "inner" if default is None else "left")
+        further = F.col("value") if default is None else F.coalesce("value", F.lit(default))
+        stepped = met.select(*node, "dst", (F.col("step") + further).alias("value"))
+        live = add(live.where("dst IS NULL").select(*node, "dst", "value").union(stepped))
         span *= 2
+    if not steps.paths:
+        return rows.select(*node, "value").limit(0), rows.select(*node).limit(0)
+    return steps.all().where("NOT open").select(*node, "value"), live.select(*node).distinct()
+
+
+def depths(edges: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Nodes on the longest path from each node that refers to others, and the nodes that reach a cycle; ``edges`` are distinct and stored."""
+    widest = edges.groupBy(*key).count().agg(F.max("count")).first()[0]
+    return settle(edges.withColumn("value", F.lit(1)), key, 1, widest)
 
 
 def components(edges: DataFrame, key: list[str]) -> DataFrame:
@@ -91,9 +94,10 @@ def simple_paths(edges: DataFrame, members: DataFrame, key: list[str]) -> DataFr
 
 
 def longest_paths(edges: DataFrame, key: list[str]) -> DataFrame:
-    """(key ..., src, value): nodes on the longest path from each node that visits none twice."""
+    """(key ..., src, value): nodes on the longest path that visits none twice, from each node that refers to others."""
     edges = cut_lineage(edges.select(*key, "src", "dst").distinct())
-    solved, cyclic = settle(equations(edges, key), key)
+    solved, cyclic = depths(edges, key)
+    cyclic = cut_lineage(cyclic)
     if cyclic.isEmpty():
         return solved
     # Only nodes that reach a cycle go on. A component's simple paths become steps to what it refers to outside.
@@ -105,8 +109,9 @@ def longest_paths(edges: DataFrame, key: list[str]) -> DataFrame:
     none = F.lit(None).cast("string").alias("dst")
     own = inner.groupBy(*key, "src").agg(F.max("value").alias("value")).select(*key, "src", none, "value")
     constants = own.union(lone.select(*key, "src", none, F.lit(1).alias("value")))
-    known = solved.join(rest.select(*key, F.col("dst").alias("src")).distinct(), [*key, "src"], "left_semi")
-    constants = constants.union(known.select(*key, "src", none, "value"))
+    others = rest.select(*key, F.col("dst").alias("src")).distinct().join(cyclic, [*key, "src"], "left_anti")
+    known = others.join(solved, [*key, "src"], "left").select(*key, "src", none, F.coalesce("value", F.lit(1)).alias("value"))
+    constants = constants.union(known)
     also = members.select(*key, F.col("src").alias("dst"), F.col("component").alias("also"))
     leaving = rest.join(members, [*key, "src"]).join(also, [*key, "dst"], "left").where("also IS NULL OR component <> also")
     leaving = leaving.select(*key, F.col("src").alias("last"), "dst")
