@@ -5,14 +5,15 @@
    by k and its minimum is coordinate k. ``BANDS`` bands of ``ROWS`` coordinates, drawn from all of them, give buckets.
 3. A bucket isn't expanded into its pairs. First its smallest member is compared with the others, on full shingle
    sets. Members that this links, directly or through other buckets, need no more. Buckets that still hold several
-   components get up to ``PIVOTS`` further pivots, four times as many in each later round; a pivot is compared with the
+   components get up to ``PIVOTS`` further pivots, up to ``MOST_PIVOTS`` in later rounds; a pivot is compared with the
    members of other components and then leaves the bucket. This ends when no bucket holds two components with a pair
    not yet compared. A bucket of thousands holds many pairs a little below the limit, so from the second pivot on a
    pair's texts are read only if longer sketches, of 1,024 coordinates, don't rule it out at four deviations.
 4. Connected components over the verified links; the smallest id is the component's.
 
-A pair at the limit of 0.8 shares no bucket with probability 5e-6, at 0.85 with 6e-9; the sketches rule out one at
-the limit with probability 3e-5 and one 0.02 above it with 3e-7. No pair is left out by number, size or rank.
+A pair at the limit of 0.8 shares no bucket with probability 2e-4, at 0.82 with 6e-5 and at 0.85 with 6e-6 (simulated: the
+bands draw on few coordinates and aren't independent); the sketches rule out one at the limit with probability 3e-5 and one 0.02 above it with 3e-7. No
+pair is left out by number, size or rank.
 
 Defined results: null and wordless texts have 0 shingles, are linked with nothing and kept; fewer words than the
 width are one shingle; repeated rows are copies; a null id gets its class's component and is kept only where the
