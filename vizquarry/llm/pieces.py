@@ -89,9 +89,11 @@ class PieceEncoder:
                 found.extend(self._encoded([" " + x for x in some]))
         return found
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, missing: set[str], every: list[str]) -> None:
+        """Learn the missing ones of the pieces of a text, or all of them where the memo starts afresh."""
         if len(self.known) + len(missing) > self.memo:
             self.known.clear()
+            missing = set(every)
         ended = {}
         for x in missing:
             stem = x.rstrip(_MARKS)
@@ -114,11 +116,8 @@ class PieceEncoder:
         first, *rest = cut(text)
         found = list(map(self.known.get, rest))
         if None in found:
-            self._learn({x for x, ids in zip(rest, found) if ids is None})
-            found = list(map(self.known.get, rest))
-            if None in found:  # the memo was cleared meanwhile
-                self._learn({x for x, ids in zip(rest, found) if ids is None})
-                found = list(map(self.known.__getitem__, rest))
+            self._learn({x for x, ids in zip(rest, found) if ids is None}, rest)
+            found = list(map(self.known.__getitem__, rest))
         if first not in self.firsts:
             if len(self.firsts) >= self.memo:
                 self.firsts = {"": b""}
