@@ -33,7 +33,7 @@ def main() -> None:
         spent[name] = round(time.time() - start, 3)
         print(name, spent[name], file=sys.stderr, flush=True)
 
-    # The element table is what the shred leaves behind; writing it is timed on its own.
+    # All element rows, made once on their own; a query makes those it looks at.
     timed("estate_elements", lambda: fixtures.workbook_elements(spark, sf_dir))
     for name in wanted:
         timed(name, lambda: queries[name](spark, sf_dir))
