@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession, functions as F, types as T
 
 from vizquarry import fixed
 from vizquarry.functions import formulas
-from vizquarry.functions.translate import translate
+from vizquarry.functions.translate import expression
 
 
 def _literal(text: str) -> str:
@@ -22,8 +22,13 @@ def _replaced(text: str, pattern: str, by: str) -> str:
 
 @F.pandas_udf(T.StringType())
 def _rendered(texts: pd.Series, columns: pd.Series) -> pd.Series:
-    rows = [None if f is None else translate(f, json.loads(m) if m else {})[0] for f, m in zip(texts, columns)]
-    return pd.Series(rows, dtype=object)
+    # Equal pairs of a batch are rendered once; maps are mostly the same for all of it.
+    pairs, maps, done = list(zip(texts, columns)), {}, {}
+    for f, m in dict.fromkeys(pairs):
+        if m not in maps:
+            maps[m] = json.loads(m) if m else {}
+        done[f, m] = None if f is None else expression(f, maps[m])
+    return pd.Series([done[p] for p in pairs], dtype=object)
 
 
 def register_functions(spark: SparkSession) -> list[str]:
