@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vizquarry.functions.formulas import raw_refs
-from vizquarry.operators.graphs import longest_paths
+from vizquarry.operators.graphs import path_lengths
 from vizquarry.session import cut_lineage
 
 
@@ -25,12 +25,13 @@ def nesting_depth(calcs: DataFrame) -> DataFrame:
     """(workbook_id, max_calc_nesting_depth) for every workbook with a calculated field.
 
     All workbooks go through the same rounds, log2(depth) of them where there is no cycle. Fields that reach a cycle
-    are searched path by path inside their component only.
+    are searched path by path inside their component only. ``calcs`` that hold ``refs`` are stored already.
     """
     # Read as sources, as targets and alone: formulas are made and searched once.
-    calcs = cut_lineage(calcs.select("workbook_id", "calc_name", raw_refs("formula").alias("refs")))
+    if "refs" not in calcs.columns:
+        calcs = cut_lineage(calcs.select("workbook_id", "calc_name", raw_refs("formula").alias("refs")))
     alone = calcs.select("workbook_id", F.lit(1).alias("depth"))
-    deep = longest_paths(_edges(calcs), ["workbook_id"]).select("workbook_id", F.col("value").alias("depth"))
+    deep = path_lengths(_edges(calcs), ["workbook_id"]).select("workbook_id", F.col("value").alias("depth"))
     return (
         alone.unionByName(deep)
         .groupBy("workbook_id")
