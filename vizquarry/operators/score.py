@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vizquarry import fixed
 from vizquarry.functions.numbers import round1
-from vizquarry.operators.elements import calc_fields
-from vizquarry.operators.metrics import estate_metrics, no_equivalent
-from vizquarry.session import cut_lineage
+from vizquarry.operators.metrics import METRICS, estate_facts, stored_calcs
 
 STRICT_LINEAR, BROAD_LOG = "strict-linear", "broad-log"
 SCORERS = {STRICT_LINEAR: ("strict", "linear"), BROAD_LOG: ("broad", "log")}
@@ -142,12 +140,8 @@ def scorecard(
     strict-linear scorer only.
     """
     variant, curve = SCORERS[scorer]
-    calcs = cut_lineage(calc_fields(elements, variant))
-    metrics = estate_metrics(elements, variant, calcs)
-    names = [c for c in metrics.columns if c != "workbook_id"]
-    tiered = with_tiers(category_scores(metrics, curve)).join(
-        no_equivalent(elements, variant), "workbook_id"
-    )
+    calcs = stored_calcs(elements, variant)
+    tiered = with_tiers(category_scores(estate_facts(elements, variant, calcs), curve))
     if scorer == STRICT_LINEAR:
         tiered = with_decision(tiered)
     full = (
@@ -168,5 +162,5 @@ def scorecard(
         F.array_join("table_paths", ", ").alias("table_paths"),
         authoring_line(product, vendor).alias("authoring_line"),
         *[round1(F.col(f"score_{c}")).alias(f"score_{c}") for c in fixed.CATEGORIES],
-        *names,
+        *METRICS,
     )
