@@ -1,7 +1,11 @@
 """What a query costs and where it holds for odd rows: plans, batches, documents, tables left behind."""
 
+from xml.etree import ElementTree
+
+import pyarrow as pa
 import pytest
 
+from vizquarry.sources import archives, shred
 from vizquarry.workload import calc_functions, fixtures as fx
 
 SCHEMAS = {
@@ -48,3 +52,67 @@ def test_a_distinct_count_takes_no_other_aggregate_along(spark, odd):
     rows = {r.return_flag: r.exact_parts for r in found.collect()}
     want = {r.f: r.n for r in spark.read.parquet(f"{odd}/lineitem.parquet").groupBy("l_returnflag").agg({"l_partkey": "count"}).toDF("f", "n").collect()}
     assert rows == want and None in rows
+
+
+def view_by_view() -> str:
+    """Documents as the views of the estate give them, each joined to the workbooks."""
+    esc = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;')"
+
+    def listed(view: str, text: str) -> str:
+        return (f"(SELECT workbook_id, array_join(array_sort(collect_list({text})), '') AS t FROM {view}"
+                " GROUP BY workbook_id)")
+
+    calc = ("concat('<column name=\"[', calc_id, ']\" caption=\"', caption, '\" datatype=\"real\""
+            " role=\"measure\"><calculation class=\"tableau\" formula=\"', " + esc("formula")
+            + ", '\"/></column>')")
+    zones = """concat('<dashboard name="', dashboard_ord, '"><zones>', array_join(transform(array_sort(
+        collect_list(struct(zone_depth, zone_type, param))), z -> concat('<zone type="', z.zone_type, '"',
+        CASE WHEN z.param = '' THEN '' ELSE concat(' param="', z.param, '"') END, '>')), ''),
+        repeat('</zone>', count(*)), '</zones></dashboard>')"""
+    filters = """concat('<worksheet name="', sheet_ord, '"><table><view><datasources>',
+        array_join(transform(sequence(1, 1 + pmod(workbook_id, 3)),
+        k -> concat('<datasource name="ds', k - 1, '"/>')), ''), '</datasources>',
+        repeat('<filter class="categorical"/>', n), '</view></table></worksheet>')"""
+    sql = f"""SELECT w.workbook_id, w.has_extract, concat('<?xml version="1.0"?><workbook><datasources>',
+        coalesce(concat('<datasource name="Parameters">', p.t, '</datasource>'), ''),
+        array_join(transform(sequence(0, pmod(w.workbook_id, 3)), k -> concat('<datasource name="ds', k, '">',
+          CASE WHEN k = pmod(w.workbook_id, 3) THEN concat('<connection>', coalesce(r.t, ''), '</connection>',
+            coalesce(c.t, ''), coalesce(s.t, '')) ELSE '' END, '</datasource>')), ''),
+        '</datasources><worksheets>', f.t, '</worksheets><dashboards>', coalesce(z.t, ''), '</dashboards>',
+        CASE WHEN w.has_story = 1 THEN '<storyboards><storyboard/></storyboards>' ELSE '' END,
+        '<actions>', coalesce(a.t, ''), '</actions></workbook>') AS xml
+      FROM wb_workbooks w
+      LEFT JOIN {listed("wb_params", "concat('<column name=\"[Parameter ', param_ord, ']\" caption=\"', param_name, '\"/>')")} p ON p.workbook_id = w.workbook_id
+      LEFT JOIN {listed("wb_relations", "concat('<relation type=\"', relation_type, '\"/>')")} r ON r.workbook_id = w.workbook_id
+      LEFT JOIN {listed("wb_calcs", calc)} c ON c.workbook_id = w.workbook_id
+      LEFT JOIN {listed("wb_sets", "CASE WHEN set_ord % 2 = 1 THEN '<column name=\"[Set]\" type=\"set\"/>' ELSE '<column name=\"[Set]\"><groupfilter/></column>' END")} s ON s.workbook_id = w.workbook_id
+      LEFT JOIN (SELECT workbook_id, array_join(array_sort(collect_list({filters})), '') AS t FROM
+        (SELECT w.workbook_id, s.k AS sheet_ord, pmod(w.workbook_id + s.k, 3) AS n FROM wb_workbooks w
+         JOIN numbers s ON s.k <= w.n_sheets) GROUP BY workbook_id) f ON f.workbook_id = w.workbook_id
+      LEFT JOIN (SELECT workbook_id, array_join(array_sort(collect_list(t)), '') AS t FROM
+        (SELECT workbook_id, {zones} AS t FROM wb_zones GROUP BY workbook_id, dashboard_ord)
+        GROUP BY workbook_id) z ON z.workbook_id = w.workbook_id
+      LEFT JOIN {listed("wb_actions", "CASE WHEN tag = 'other' THEN '<action/>' ELSE concat('<action><', tag, CASE WHEN target_parameter IS NULL THEN '' ELSE concat(' parameter=\"', target_parameter, '\"') END, '/></action>') END")} a ON a.workbook_id = w.workbook_id"""
+    return fx.with_views(sql)
+
+
+def test_documents_are_those_of_the_views_from_one_pass_over_lines(spark, odd):
+    found = fx.workbook_xml(spark, odd)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") <= 2
+    got = sorted((-99 if r.workbook_id is None else r.workbook_id, r.has_extract, r.xml or "") for r in found.collect())
+    want = sorted((-99 if r.workbook_id is None else r.workbook_id, r.has_extract, r.xml or "") for r in spark.sql(view_by_view()).collect())
+    assert got == want and len(got) == 48
+    assert len({w for w, _, _ in got}) == 42 and any(not x for _, _, x in got) and any("&quot;" in x for _, _, x in got)
+
+
+def test_small_archives_leave_a_task_together_and_a_large_one_alone():
+    sizes = [10, 20, archives._BATCH_BYTES + 1, 30, archives._BATCH_BYTES - 30, 1]
+    rows = [dict.fromkeys(archives._ARROW.names) | {"path": str(n), "xml": b"x" * n} for n in sizes]
+    assert [b.column("path").to_pylist() for b in archives._batches(iter(rows))] == [
+        ["10", "20"], [str(sizes[2])], ["30", str(sizes[4])], ["1"]
+    ]
+    many = [dict.fromkeys(archives._ARROW.names) | {"path": "p"}] * (archives._BATCH_ROWS + 1)
+    assert [b.num_rows for b in archives._batches(iter(many))] == [archives._BATCH_ROWS, 1]
+    files = pa.record_batch({"path": [f"{n}.twb" for n in range(50)], "content": [b"<workbook/>"] * 50})
+    assert [b.num_rows for b in archives._open_batches([files])] == [50]

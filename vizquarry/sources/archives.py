@@ -7,6 +7,7 @@ import lzma
 import struct
 import zipfile
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,6 +27,8 @@ _ARROW = pa.schema(
         ("error", pa.string()),
     ]
 )
+#: Rows and bytes of workbooks that leave a task together.
+_BATCH_ROWS, _BATCH_BYTES = 1024, 1 << 20
 _DAMAGE = (
     zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, lzma.LZMAError, struct.error,
     EOFError, KeyError, OSError, RuntimeError, ValueError,
@@ -58,13 +61,27 @@ def _open(path: str, handle) -> dict:
     return row
 
 
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of few bytes: a task holds small workbooks together and a large one alone."""
+    held: list[dict] = []
+    size = 0
+    for row in rows:
+        more = len(row["xml"] or b"")
+        if held and (len(held) == _BATCH_ROWS or size + more > _BATCH_BYTES):
+            yield pa.RecordBatch.from_pylist(held, schema=_ARROW)
+            held, size = [], 0
+        held.append(row)
+        size += more
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=_ARROW)
+
+
 def _open_batches(batches):
     for batch in batches:
         paths, contents = batch.column("path"), batch.column("content")
-        for i in range(batch.num_rows):
-            # One archive per output batch, so that a task holds one decoded workbook at a time.
-            row = _open(paths[i].as_py(), lambda content=contents[i]: io.BytesIO(content.as_py()))
-            yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+        yield from _batches(
+            _open(paths[i].as_py(), lambda content=contents[i]: io.BytesIO(content.as_py())) for i in range(batch.num_rows)
+        )
 
 
 def _handle(path: str):
@@ -77,9 +94,7 @@ def _handle(path: str):
 
 def _open_paths(batches):
     for batch in batches:
-        for path in batch.column("path").to_pylist():
-            row = _open(path, lambda path=path: _handle(path))
-            yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+        yield from _batches(_open(path, lambda path=path: _handle(path)) for path in batch.column("path").to_pylist())
 
 
 def scan_archives(files: DataFrame) -> DataFrame:
