@@ -116,3 +116,45 @@ def test_small_archives_leave_a_task_together_and_a_large_one_alone():
     assert [b.num_rows for b in archives._batches(iter(many))] == [archives._BATCH_ROWS, 1]
     files = pa.record_batch({"path": [f"{n}.twb" for n in range(50)], "content": [b"<workbook/>"] * 50})
     assert [b.num_rows for b in archives._open_batches([files])] == [50]
+
+
+def plain_rows(key, text):
+    """Rows of one document by its element tree."""
+    out = []
+
+    def walk(e, up, path, depth, sib, nth, scopes):
+        row = [key, len(out), up and up[1], path, depth, e.tag, sib, nth, dict(e.attrib), dict(up[8]) if up else {}]
+        out.append(row)
+        tags = []
+        inner = scopes
+        if e.tag in shred.SCOPE_TAGS:
+            inner = [*scopes, {"elem_id": row[1], "tag": e.tag, "path": path, "name": e.get("name"), "caption": e.get("caption")}]
+        for n, child in enumerate(e, 1):
+            tags.append(child.tag)
+            walk(child, row, f"{path}/{child.tag}" if path else child.tag, depth + 1, n, tags.count(child.tag), inner)
+        row += [list(dict.fromkeys(tags)), scopes, None]
+
+    walk(ElementTree.fromstring(text), None, "", 0, 1, 1, [])
+    return out
+
+
+def test_shredded_columns_are_the_element_tree(monkeypatch):
+    long = "<workbook>" + "".join(f"<zone id='{n}'><zone/></zone>" for n in range(9000)) + "</workbook>"
+    texts = [
+        "<workbook v='1'><datasources><datasource name='a' caption='A'><column name='[x]'><calculation formula='1'/></column><column/>"
+        "<connection><datasource><relation type='join'/></datasource></connection></datasource></datasources></workbook>",
+        "<datasource name='a'><column></datasource>", None, "", "<workbook/>",
+        "<w:workbook xmlns:w='urn:w' xmlns='urn:d' w:a='1' b='2'><w:zone/><zone w:a='3'/><dashboard name='d'><zone/></dashboard></w:workbook>",
+        long, "<worksheet><worksheet name='s'><filter class='c'/></worksheet><broken", "<dashboard><zone/></dashboard>",
+    ]
+    batch = pa.record_batch({"id": range(len(texts)), "xml": texts})
+    made, build = [], shred._Elements.batch
+    monkeypatch.setattr(shred._Elements, "batch", lambda rows, field: (made.append(len(rows.paths)), build(rows, field))[1])
+    batches = list(shred._shred_batches([batch]))
+    assert max(b.num_rows for b in batches) <= shred._ROWS_PER_BATCH and len(made) == 2 and max(made) < 30
+    rows = [[dict(v) if name.endswith("attrs") else v for name, v in r.items()] for b in batches for r in b.to_pylist()]
+    failed = {r[0]: r[-1] for r in rows if r[-1]}
+    assert failed.keys() == {1, 2, 3, 7} and failed[2] == "no workbook XML" and failed[1].startswith("mismatched tag")
+    assert [r[1:-1] for r in rows if r[-1]] == [[None] * 7 + [{}, {}, [], []]] * 4
+    want = [r for n, text in enumerate(texts) if n not in failed for r in plain_rows(n, text)]
+    assert sorted((r for r in rows if not r[-1]), key=lambda r: r[:2]) == want
