@@ -5,8 +5,11 @@ from xml.etree import ElementTree
 import pyarrow as pa
 import pytest
 
+from vizquarry.plans import publish as pub, views as vw
+from vizquarry.plans.metric_view import plan_formulas
+from vizquarry.session import cut_lineage
 from vizquarry.sources import archives, shred
-from vizquarry.workload import calc_functions, fixtures as fx
+from vizquarry.workload import calc_functions, fixtures as fx, semantic
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -158,3 +161,60 @@ def test_shredded_columns_are_the_element_tree(monkeypatch):
     assert [r[1:-1] for r in rows if r[-1]] == [[None] * 7 + [{}, {}, [], []]] * 4
     want = [r for n, text in enumerate(texts) if n not in failed for r in plain_rows(n, text)]
     assert sorted((r for r in rows if not r[-1]), key=lambda r: r[:2]) == want
+
+
+def test_slugs_of_a_workbook_without_repeats_need_a_count_only(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(vw, "cut_lineage", lambda df: (stored.append(df.columns), cut_lineage(df))[1])
+    rows = [(1, 1, "a b", "x1"), (1, 2, "c", "x2"), (2, 1, "a b", "x3"), (None, 1, "n", "x4"), (3, None, "n", "x5"), (3, 1, None, "x6")]
+    schema = "workbook_id int, ord int, name string, calc_id string"
+    plain = vw.with_slugs(spark.createDataFrame(rows, schema))
+    assert "Join" not in plain._jdf.queryExecution().optimizedPlan().toString() and stored == [["workbook_id"]]
+    assert sorted((r.workbook_id, r.ord, r.slug) for r in plain.collect()) == [(1, 1, "a_b"), (1, 2, "c"), (2, 1, "a_b")]
+    crowded = vw.with_slugs(spark.createDataFrame([*rows, (1, 3, "A-B", "x7")], schema))
+    assert sorted((r.workbook_id, r.ord, r.slug) for r in crowded.collect()) == [(1, 1, "a_b"), (1, 2, "c"), (1, 3, "a_b_x7"), (2, 1, "a_b")]
+
+
+def test_views_of_the_estate_are_not_stored(spark, odd):
+    views = semantic.planned_views(spark, odd)
+    assert semantic.planned_views(spark, odd) is views
+    tables = [set(spark.read.parquet(path).columns) for path in {f.rsplit("/", 1)[0] for f in views.inputFiles()}]
+    assert tables and not any({"definition", "sql"} & columns for columns in tables)
+
+
+def test_a_stored_table_leaves_no_shuffle_behind(spark):
+    keep = cut_lineage(spark.range(1000).repartition(5, "id"))
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = blocks.shuffleStatuses().size()
+    assert cut_lineage(keep.groupBy("id").count()).count() == 1000
+    after = blocks.shuffleStatuses().size()
+    spark.range(1000).repartition(5, "id").write.format("noop").mode("overwrite").save()
+    assert blocks.shuffleStatuses().size() > after  # a write by itself keeps its shuffle
+    assert after - before <= 1  # that of the count
+
+
+def test_what_fails_is_told_without_an_analysis_each_and_few_rows_are_read_once(spark, tmp_path, monkeypatch):
+    lines = spark.sql("SELECT id AS qty, id * 1.0D AS price FROM range(6)")
+    bad = {f"bad {n}": f"SUM([Price]) + {n} + [Qty]" for n in range(6)} | {"odd": "SUM([Price]) + [Nothing]", "one": "LEN([Price], [Qty], 3) + SUM([Qty])"}
+    views = plan_formulas(spark, bad | {f"good {n}": f"SUM([Price]) + {n}" for n in range(6)}, {"main.s.lines": lines})
+    wide, read, run = [], [], pub._wide
+    monkeypatch.setattr(pub, "_wide", lambda source, rows, dims: (wide.append(len(rows)), run(source, rows, dims))[1])
+    monkeypatch.setattr(pub, "TRIED_SET", 5)
+    limit = type(lines).limit
+    monkeypatch.setattr(type(lines), "limit", lambda df, n: (read.append(n), limit(df, n))[1])
+    done = pub.publish(views, {"main.s.lines": lines}, str(tmp_path / "x"), lambda base: ["qty"])
+    got = {r.view_name.split("mv_")[1]: (r.status, r.error) for r in done.statuses(views).collect()}
+    assert {k: s for k, (s, _) in got.items()} == {n.replace(" ", "_"): "failed" for n in bad if not n.startswith("bad")} | {
+        f"{kind}_{n}": "created" for n in range(6) for kind in ("good", "bad")  # quantity is a key
+    }
+    assert len(read) == 1 and wide.count(1) <= 2
+    done = pub.publish(views, {"main.s.lines": lines}, str(tmp_path / "y"))
+    got = {r.view_name.split("mv_")[1]: (r.status, r.error) for r in done.statuses(views).collect()}
+    assert {s for k, (s, _) in got.items() if k.startswith("bad")} == {"failed"}
+    plain = {}
+    for r in done.states().where("state = 'failed'").collect():
+        plain[r.definition] = r.why
+    for r in views.withColumn("definition", pub.definition_id()).where("definition IN ('" + "','".join(plain) + "')").collect():
+        why = {}
+        assert pub._usable([r], lambda rows: run(lines.limit(0), rows, []).schema, why) == []
+        assert why == {r.definition: plain[r.definition]}
