@@ -9,7 +9,7 @@ from vizquarry.plans import publish as pub, views as vw
 from vizquarry.plans.metric_view import plan_formulas
 from vizquarry.session import cut_lineage
 from vizquarry.sources import archives, shred
-from vizquarry.workload import calc_functions, fixtures as fx, semantic
+from vizquarry.workload import calc_functions, fixtures as fx, ingest, semantic
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -163,6 +163,13 @@ def test_shredded_columns_are_the_element_tree(monkeypatch):
     assert sorted((r for r in rows if not r[-1]), key=lambda r: r[:2]) == want
 
 
+def test_calculations_of_shredded_documents_are_made_once(spark, odd, monkeypatch):
+    stored = []
+    monkeypatch.setattr(ingest, "cut_lineage", lambda df: (stored.append(df.columns), cut_lineage(df))[1], raising=False)
+    plan = ingest.xml_shred(spark, odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert stored == [["workbook_id", "calc_name", "formula", "ord"]] and "max_by" not in plan
+
+
 def test_slugs_of_a_workbook_without_repeats_need_a_count_only(spark, monkeypatch):
     stored = []
     monkeypatch.setattr(vw, "cut_lineage", lambda df: (stored.append(df.columns), cut_lineage(df))[1])
